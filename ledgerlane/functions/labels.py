@@ -30,5 +30,5 @@ def contact(
 
 
 def sql_datetime(ts: Column) -> Column:
-    """A timestamp as ``YYYY-MM-DD HH:MM:SS`` text."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """A zoneless timestamp as ``YYYY-MM-DD HH:MM:SS`` text, whatever the session time zone."""
+    return F.substring(ts.cast("string"), 1, 19)

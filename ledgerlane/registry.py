@@ -47,7 +47,10 @@ def comparable(df: DataFrame) -> DataFrame:
             case IntegerType():
                 column = column.cast("bigint")
             case TimestampType() | TimestampNTZType():
-                column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                text = column.cast("string")
+                column = F.concat(
+                    F.substring(text, 1, 19), F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0")
+                )
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
