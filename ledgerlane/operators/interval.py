@@ -3,24 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# At most this many (interval, day) rows are broadcast: they have a handful of short columns, so about 10 MB.
+BROADCAST_DAYS = 100_000
 
-def join_intervals(
-    intervals: DataFrame, points: DataFrame, keys: Sequence[str], start: str, end: str, at: str
-) -> DataFrame:
+
+class DaySpans(NamedTuple):
+    """Intervals listed once per day they cover, with the facts that decide how to join them."""
+
+    days: DataFrame
+    start: str
+    end: str
+    earliest: datetime | None
+    count: int
+
+
+def day_spans(intervals: DataFrame, start: str, end: str) -> DaySpans:
+    """Prepare intervals for :func:`join_intervals`; an interval that ends before it starts contains nothing.
+
+    One small query counts the day rows, because the planner's own estimate ignores that a row may cover many days.
+    """
+    valid = intervals.where(F.col(start) <= F.col(end))
+    first, last = F.to_date(start), F.to_date(end)
+    earliest, count = valid.agg(F.min(start), F.sum(F.datediff(last, first) + 1)).first()
+    days = valid.withColumn("_day", F.explode(F.sequence(first, last)))
+    return DaySpans(days, start, end, earliest, count or 0)
+
+
+def join_intervals(spans: DaySpans, points: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Inner join of each point with the intervals of the same ``keys`` that contain it, both ends included.
 
-    Every interval is listed once per day it covers and the day becomes an equality key. A point has one day, so it
-    meets only the intervals of that day (never all intervals of a busy key) and no match comes twice. A day of one key
-    that is still too large is split at run time by the adaptive skew join, since the join is inner. Points older than
-    every interval are cut off at the scan by a one-value subquery.
+    The day is one of the equality keys. A point has one day, so it meets only the intervals of that day (never all
+    intervals of a busy key) and no match comes twice. Few day rows are broadcast; otherwise it is a sort-merge join, in
+    which the adaptive skew join splits a day of one key that holds a large share of the points. Points older than
+    every interval are cut off at the scan.
     """
-    days = intervals.where(F.col(start) <= F.col(end)).withColumn(
-        "_day", F.explode(F.sequence(F.to_date(start), F.to_date(end)))
-    )
-    earliest = intervals.agg(F.min(start)).scalar()
-    dated = points.where(F.col(at) >= earliest).withColumn("_day", F.to_date(at))
-    return days.join(dated, [*keys, "_day"]).where(F.col(at).between(F.col(start), F.col(end))).drop("_day")
+    recent = F.lit(False) if spans.earliest is None else F.col(at) >= F.lit(spans.earliest).cast("timestamp_ntz")
+    dated = points.where(recent).withColumn("_day", F.to_date(at))
+    days = F.broadcast(spans.days) if spans.count <= BROADCAST_DAYS else spans.days.hint("merge")
+    inside = F.col(at).between(F.col(spans.start), F.col(spans.end))
+    return dated.join(days, [*keys, "_day"]).where(inside).drop("_day")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 from typing import Literal
 
@@ -18,7 +18,7 @@ from ledgerlane.functions.payload import (
     read_fields,
     tax_fields,
 )
-from ledgerlane.operators.interval import join_intervals
+from ledgerlane.operators.interval import DaySpans, day_spans, join_intervals
 from ledgerlane.sources.tables import Tables
 
 # Invoice types of a closure, and the suffix their output columns carry.
@@ -63,24 +63,28 @@ def recent_closures(closures: DataFrame, since: date = SINCE) -> DataFrame:
     return closures.where(F.col("register_closure_created_at") >= F.lit(since).cast("timestamp_ntz"))
 
 
-def attach_to_closures(closures: DataFrame, rows: DataFrame, at: str) -> DataFrame:
+def closure_spans(closures: DataFrame) -> DaySpans:
+    """The opening times of closures, prepared once for attaching invoices and expenses."""
+    opened = closures.select(
+        F.col("id").alias("register_closure_id"), *REGISTER, "register_opened_at", "register_closure_created_at"
+    )
+    return day_spans(opened, "register_opened_at", "register_closure_created_at")
+
+
+def attach_to_closures(spans: DaySpans, rows: DataFrame, at: str) -> DataFrame:
     """Each row with the closure of its register that was open at its time.
 
     Both ends count, so a row on the boundary of two closures belongs to both.
     """
-    spans = closures.select(
-        F.col("id").alias("register_closure_id"), *REGISTER, "register_opened_at", "register_closure_created_at"
-    )
-    joined = join_intervals(spans, rows, REGISTER, "register_opened_at", "register_closure_created_at", at)
-    return joined.drop("register_opened_at", "register_closure_created_at")
+    return join_intervals(spans, rows, REGISTER, at).drop("register_opened_at", "register_closure_created_at")
 
 
-def attach_invoices(closures: DataFrame, invoices: DataFrame) -> DataFrame:
-    return attach_to_closures(closures, invoices, "invoice_created_at")
+def attach_invoices(spans: DaySpans, invoices: DataFrame) -> DataFrame:
+    return attach_to_closures(spans, invoices, "invoice_created_at")
 
 
-def attach_expenses(closures: DataFrame, expenses: DataFrame) -> DataFrame:
-    return attach_to_closures(closures, expenses, "expense_date_time")
+def attach_expenses(spans: DaySpans, expenses: DataFrame) -> DataFrame:
+    return attach_to_closures(spans, expenses, "expense_date_time")
 
 
 def expense_totals(expenses: DataFrame) -> DataFrame:
@@ -123,41 +127,45 @@ def payload_rejects(invoices: DataFrame) -> DataFrame:
     )
 
 
-# Aggregates of one payment type or one tax. Columns outside the group key are arbitrary; the smallest makes them stable.
-def _payment_aggregates(get: Getter) -> list[Column]:
-    kept = ("payment_type_name", "payment_type_is_cash", "account_code_bankcash", "account_name_bankcash")
-    return [
-        *[F.min(get(name)).alias(name) for name in kept],
-        F.sum(get("invoice_payment_value")).cast(MONEY).alias("invoice_payment_value"),
-    ]
-
+# What a payment total and a tax total are made of. Columns outside the group key are arbitrary: the smallest is kept.
+_PAYMENT_TEXTS = ("payment_type_name", "account_code_bankcash", "account_name_bankcash")
+_PAYMENT_LOWS = ("payment_type_is_cash",)
+_PAYMENT_SUMS = ("invoice_payment_value",)
+_TAX_TEXTS = ("tax_name", "tax_category", "tax_exemption_reason")
+_TAX_LOWS = ("tax_is_sum", "tax_percent_value", "tax_base", "tax_is_discriminate")
+_TAX_SUMS = ("sub_total", "value_total")
 
-def _cash_total(get: Getter) -> Column:
-    """Total of the cash payments only; NULL when there is none."""
-    return F.sum(F.when(get("payment_type_is_cash"), get("invoice_payment_value"))).cast(MONEY)
 
+def _collapse(
+    df: DataFrame,
+    keys: Sequence[str],
+    texts: Sequence[str],
+    lows: Sequence[str],
+    sums: Sequence[str],
+    highs: Sequence[str] = (),
+) -> DataFrame:
+    """Per key the smallest of ``texts`` and ``lows``, the largest of ``highs`` and the totals of ``sums``.
 
-def _tax_aggregates(get: Getter) -> list[Column]:
-    kept = (
-        "tax_name",
-        "tax_category",
-        "tax_is_sum",
-        "tax_percent_value",
-        "tax_base",
-        "tax_is_discriminate",
-        "tax_exemption_reason",
-    )
-    return [
-        *[F.min(get(name)).alias(name) for name in kept],
-        *[F.sum(get(name)).cast(MONEY).alias(name) for name in ("sub_total", "value_total")],
+    The smallest text would make Spark sort all rows. So the rows are first summed per key and texts, which hash
+    aggregation does before and after the shuffle, and the texts are compared on the few rows left.
+    """
+    fixed = [
+        *[F.min(name).alias(name) for name in lows],
+        *[F.max(name).alias(name) for name in highs],
+        *[F.sum(name).alias(name) for name in sums],
     ]
+    fine = df.groupBy(*keys, *texts).agg(*fixed)
+    return fine.groupBy(*keys).agg(*[F.min(name).alias(name) for name in texts], *fixed)
+
+
+def _as_money(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumns({name: F.col(name).cast(MONEY) for name in names})
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
     """Totals per closure, invoice type and payment code."""
-    return payments.groupBy("register_closure_id", "invoice_type", "payment_type_code").agg(
-        *_payment_aggregates(F.col)
-    )
+    keys = ("register_closure_id", "invoice_type", "payment_type_code")
+    return _as_money(_collapse(payments, keys, _PAYMENT_TEXTS, _PAYMENT_LOWS, _PAYMENT_SUMS), _PAYMENT_SUMS)
 
 
 def payment_references(payments: DataFrame) -> DataFrame:
@@ -184,7 +192,8 @@ def cash_totals(payments: DataFrame) -> DataFrame:
 
 def tax_totals(taxes: DataFrame) -> DataFrame:
     """Totals per closure, invoice type and tax; a missing tax id is a group of its own."""
-    return taxes.groupBy("register_closure_id", "invoice_type", "tax_id").agg(*_tax_aggregates(F.col))
+    keys = ("register_closure_id", "invoice_type", "tax_id")
+    return _as_money(_collapse(taxes, keys, _TAX_TEXTS, _TAX_LOWS, _TAX_SUMS), _TAX_SUMS)
 
 
 def _json_object(entry: Getter, layout: dict[str, str | None]) -> Column:
@@ -249,37 +258,42 @@ def closure_facts(invoices: DataFrame, real_tax_names: bool = False) -> DataFram
         ),
     )
 
-    def of(part: str) -> Getter:
-        return lambda name: F.col(f"{part}.{name}")
-
-    head, tax = of("header"), of("tax")
     kind = (
-        F.when(F.col("header").isNotNull(), "header").when(F.col("payment").isNotNull(), "payment").otherwise("tax")
+        F.when(F.col("fact.header").isNotNull(), "header")
+        .when(F.col("fact.payment").isNotNull(), "payment")
+        .otherwise("tax")
     )
-    return (
+    flat = (
         invoices.where(F.col("invoice_type").isin(*SUFFIXES))
         .select("register_closure_id", "invoice_type", F.explode(facts).alias("fact"))
-        .select("register_closure_id", "invoice_type", "fact.*")
-        .groupBy(
-            "register_closure_id",
-            "invoice_type",
-            kind.alias("kind"),
-            F.col("payment.payment_type_code").alias("payment_type_code"),
-            F.col("tax.tax_id").alias("tax_id"),
+        .select(
+            "register_closure_id", "invoice_type", kind.alias("kind"), "fact.header.*", "fact.payment.*", "fact.tax.*"
         )
-        .agg(
-            F.min(head("invoice_consecutive")).alias("consecutive_from"),
-            F.max(head("invoice_consecutive")).alias("consecutive_to"),
-            F.count(head("id")).alias("quantity"),
-            *[F.sum(head(f"invoice_{name}")).alias(name) for name in ("subtotal", "discount", "total")],
-            *_payment_aggregates(of("payment")),
-            _cash_total(of("payment")).alias("cash_total"),
-            F.max(F.col("payment.payment_type_is_cash")).alias("has_cash"),
-            *_tax_aggregates(tax),
-            F.sum(F.when(tax("tax_is_sum"), tax("value_total"))).alias("tax_sum"),
-            F.sum(F.when(~tax("tax_is_sum"), tax("value_total"))).alias("tax_sub"),
+        .withColumns(
+            {
+                "consecutive_from": F.col("invoice_consecutive"),
+                "consecutive_to": F.col("invoice_consecutive"),
+                "quantity": F.col("id").isNotNull().cast("long"),
+                "cash_total": F.when(F.col("payment_type_is_cash"), F.col("invoice_payment_value")),
+                "tax_sum": F.when(F.col("tax_is_sum"), F.col("value_total")),
+                "tax_sub": F.when(~F.col("tax_is_sum"), F.col("value_total")),
+            }
         )
     )
+    amounts = (
+        *("invoice_subtotal", "invoice_discount", "invoice_total", "cash_total", "tax_sum", "tax_sub"),
+        *_PAYMENT_SUMS,
+        *_TAX_SUMS,
+    )
+    collapsed = _collapse(
+        flat,
+        ("register_closure_id", "invoice_type", "kind", "payment_type_code", "tax_id"),
+        (*_PAYMENT_TEXTS, *_TAX_TEXTS),
+        ("consecutive_from", *_PAYMENT_LOWS, *_TAX_LOWS),
+        ("quantity", *amounts),
+        ("consecutive_to",),
+    )
+    return _as_money(collapsed, amounts)
 
 
 def closure_summaries(facts: DataFrame) -> DataFrame:
@@ -297,7 +311,7 @@ def closure_summaries(facts: DataFrame) -> DataFrame:
             F.max(of_kind("header", F.col("consecutive_to"))).alias(f"invoice_consecutive_to{suffix}"),
             F.sum(of_kind("header", F.col("quantity"))).alias(f"invoice_quantity{suffix}"),
             *[
-                F.sum(of_kind("header", F.col(name))).cast(MONEY).alias(f"invoice_{name}{suffix}")
+                F.sum(of_kind("header", F.col(f"invoice_{name}"))).cast(MONEY).alias(f"invoice_{name}{suffix}")
                 for name in ("subtotal", "discount", "total")
             ],
             *[
@@ -307,7 +321,7 @@ def closure_summaries(facts: DataFrame) -> DataFrame:
             F.collect_list(of_kind("payment", record(PAYMENT_JSON))).alias(f"_payments{suffix}"),
             F.collect_list(of_kind("tax", record(TAX_JSON))).alias(f"_taxes{suffix}"),
             F.collect_list(
-                F.when(F.col("has_cash"), of_kind("payment", F.struct(F.col("cash_total").alias("value"))))
+                of_kind("payment", F.when(F.col("cash_total").isNotNull(), F.struct(F.col("cash_total").alias("value"))))
             ).alias(f"_cash{suffix}"),
         ]
     return facts.groupBy("register_closure_id").agg(*columns)
@@ -326,8 +340,9 @@ def rebuild_closures(
     per closure with its whole cash total.
     """
     closures = recent_closures(tables["erp_pos_register_closures"], since)
-    invoices = attach_invoices(closures, tables["erp_pos_invoice"])
-    expenses = expense_totals(attach_expenses(closures, tables["erp_pos_expenses"]))
+    spans = closure_spans(closures)
+    invoices = attach_invoices(spans, tables["erp_pos_invoice"])
+    expenses = expense_totals(attach_expenses(spans, tables["erp_pos_expenses"]))
     summaries = closure_summaries(closure_facts(invoices, real_tax_names))
 
     joined = closures.join(

@@ -10,6 +10,7 @@ from ledgerlane.functions.labels import sql_datetime
 from ledgerlane.functions.money import MONEY, no_money
 from ledgerlane.operators.lookup import lookup
 from ledgerlane.operators.numbering import number_rows
+from ledgerlane.sources.publish import store
 from ledgerlane.sources.tables import Tables
 
 # Movement types, the status of an applied movement, and report texts.
@@ -46,7 +47,8 @@ def broken_serials(tables: Tables, company_key: int | None = None, ordered: bool
 
     Broken means more outcomes than incomes, or a remaining stock after at least one outcome with more than one unit
     missing. The sums are partial before the shuffle, so a serial with very many movements is no hot spot; an inventory
-    document with very many is split by the adaptive skew join.
+    document with very many is split by the adaptive skew join. Code and name belong to the item; as group keys they
+    keep the sums in hash aggregation.
     """
     company = for_company(company_key, F.col("company_key"))
     items = (
@@ -68,10 +70,8 @@ def broken_serials(tables: Tables, company_key: int | None = None, ordered: bool
     stock = (
         movements.join(items, ["company_key", "item_id"])
         .join(applied, ["company_key", "inventory_id"])
-        .groupBy(*SERIAL)
+        .groupBy(*SERIAL, "item_code", "item_name")
         .agg(
-            F.min("item_code").alias("item_code"),
-            F.min("item_name").alias("item_name"),
             F.sum(F.when(kind == INCOME, quantity).otherwise(no_money())).cast(MONEY).alias("inventory_incomes"),
             F.sum(F.when(kind == OUTCOME, quantity).otherwise(no_money())).cast(MONEY).alias("inventory_outcomes"),
             F.sum(_signed(quantity, kind)).cast(MONEY).alias("expected_stock"),
@@ -161,7 +161,9 @@ def serial_inventory_flow(tables: Tables, company_key: int | None = None, headin
 
     Movements created at the same moment follow in the order of their document number and shown values.
     """
-    rows = flow_rows(tables, broken_serials(tables, company_key))
+    # Read twice, for the headers and for the movements; stored, the whole stock is summed only once.
+    broken = store(broken_serials(tables, company_key), "broken-serials")
+    rows = flow_rows(tables, broken)
     order = [F.col(f"_{name}") for name in _SERIAL_ORDER] + [
         F.col(name)
         for name in (

@@ -49,7 +49,7 @@ def payload_key_drift(
     """
     frame = _only(df, tenant_col, present_in, missing_in)
     keyed = frame.select(F.col(tenant_col).alias("tenant"), F.explode(elements(F.col(json_col))).alias("element"))
-    names = F.json_object_keys(F.to_json("element"))
+    names = F.map_keys(F.try_variant_get("element", "$", "map<string, variant>"))
     used = keyed.select("tenant", F.explode(names).alias("name")).distinct()
     return _lacking(used, frame, tenant_col, present_in, missing_in)
 

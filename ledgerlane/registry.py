@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 
 from ledgerlane.operators.combinations import combination_counts, combinations
 from ledgerlane.operators.diff import snapshot_diff
+from ledgerlane.operators.interval import DaySpans
 from ledgerlane.operators.replace import replace_into
 from ledgerlane.plans import assets, closures, corrections, crm, inventory, job_queue, pos_month, sales, tenants
 from ledgerlane.sources.sample import RegisterTables, SampleTables
@@ -186,12 +187,16 @@ def replace_sales_report(t):
 # Register closures ------------------------------------------------------------------------------------------------
 
 
+def _spans(t: RegisterTables) -> DaySpans:
+    return closures.closure_spans(closures.recent_closures(t["erp_pos_register_closures"]))
+
+
 def _invoices(t: RegisterTables) -> DataFrame:
-    return closures.attach_invoices(closures.recent_closures(t["erp_pos_register_closures"]), t["erp_pos_invoice"])
+    return closures.attach_invoices(_spans(t), t["erp_pos_invoice"])
 
 
 def _expenses(t: RegisterTables) -> DataFrame:
-    return closures.attach_expenses(closures.recent_closures(t["erp_pos_register_closures"]), t["erp_pos_expenses"])
+    return closures.attach_expenses(_spans(t), t["erp_pos_expenses"])
 
 
 @register_query

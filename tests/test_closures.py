@@ -45,7 +45,8 @@ def payment(code="1", value=10, cash=True, **more):
 @pytest.fixture
 def attached(make):
     def build(*invoices):
-        return c.attach_invoices(make("erp_pos_register_closures", closure()), make("erp_pos_invoice", *invoices))
+        spans = c.closure_spans(make("erp_pos_register_closures", closure()))
+        return c.attach_invoices(spans, make("erp_pos_invoice", *invoices))
 
     return build
 
@@ -68,7 +69,7 @@ def test_boundary_invoice_belongs_to_both_closures(make):
         invoice("after", datetime(2023, 1, 4)),
         invoice("unknown", None),
     )
-    pairs = sorted((r.register_closure_id, r.id) for r in c.attach_invoices(closures, invoices).collect())
+    pairs = sorted((r.register_closure_id, r.id) for r in c.attach_invoices(c.closure_spans(closures), invoices).collect())
     assert pairs == [("c1", "boundary"), ("c1", "first"), ("c2", "boundary"), ("c2", "last")]
 
 
