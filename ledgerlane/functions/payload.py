@@ -72,9 +72,14 @@ def is_malformed(payload: Column) -> Column:
     return payload.isNotNull() & F.try_parse_json(payload).isNull()
 
 
-def read_field(element: Column, field: Field) -> Column:
-    """One field of one element: the first spelling that is present decides, even when it holds JSON null."""
-    value = F.coalesce(*(F.try_variant_get(element, f"$.{alias}", "variant") for alias in field.aliases))
+def entry(element: Column) -> Column:
+    """The keys and values of one element; NULL when it is not an object. Much cheaper than one path lookup per key."""
+    return F.try_variant_get(element, "$", "map<string, variant>")
+
+
+def read_field(entry: Column, field: Field) -> Column:
+    """One field of one entry: the first spelling that is present decides, even when it holds JSON null."""
+    value = F.coalesce(*(entry[alias] for alias in field.aliases))
     if field.kind == "json":
         return F.to_json(value)
     if field.kind == "flag":
@@ -82,8 +87,8 @@ def read_field(element: Column, field: Field) -> Column:
     return or_zero(F.try_variant_get(value, "$", MONEY))
 
 
-def read_fields(element: Column, fields: tuple[Field, ...]) -> list[Column]:
-    return [read_field(element, field).alias(field.name) for field in fields]
+def read_fields(entry: Column, fields: tuple[Field, ...]) -> list[Column]:
+    return [read_field(entry, field).alias(field.name) for field in fields]
 
 
 def json_value(text: Column) -> Column:

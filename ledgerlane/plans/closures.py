@@ -13,6 +13,7 @@ from ledgerlane.functions.money import MONEY, no_money, or_zero
 from ledgerlane.functions.payload import (
     PAYMENT_FIELDS,
     elements,
+    entry,
     is_malformed,
     json_value,
     read_fields,
@@ -108,7 +109,8 @@ def _explode(invoices: DataFrame, payload: str, fields) -> DataFrame:
     return (
         invoices.where(F.col("invoice_type").isin(*SUFFIXES))
         .select("register_closure_id", "invoice_type", F.explode(elements(F.col(payload))).alias("element"))
-        .select("register_closure_id", "invoice_type", *read_fields(F.col("element"), fields))
+        .select("register_closure_id", "invoice_type", entry(F.col("element")).alias("entry"))
+        .select("register_closure_id", "invoice_type", *read_fields(F.col("entry"), fields))
     )
 
 
@@ -163,9 +165,13 @@ def _as_money(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
-    """Totals per closure, invoice type and payment code."""
+    """Totals per closure, invoice type and payment code. ``cash_total`` counts cash payments only, NULL without any."""
     keys = ("register_closure_id", "invoice_type", "payment_type_code")
-    return _as_money(_collapse(payments, keys, _PAYMENT_TEXTS, _PAYMENT_LOWS, _PAYMENT_SUMS), _PAYMENT_SUMS)
+    cash = F.when(F.col("payment_type_is_cash"), F.col("invoice_payment_value"))
+    sums = (*_PAYMENT_SUMS, "cash_total")
+    return _as_money(
+        _collapse(payments.withColumn("cash_total", cash), keys, _PAYMENT_TEXTS, _PAYMENT_LOWS, sums), sums
+    )
 
 
 def payment_references(payments: DataFrame) -> DataFrame:
@@ -191,9 +197,28 @@ def cash_totals(payments: DataFrame) -> DataFrame:
 
 
 def tax_totals(taxes: DataFrame) -> DataFrame:
-    """Totals per closure, invoice type and tax; a missing tax id is a group of its own."""
+    """Totals per closure, invoice type and tax; a missing tax id is a group of its own.
+
+    ``tax_sum`` and ``tax_sub`` split the tax value into taxes that are added and taxes that are withheld.
+    """
     keys = ("register_closure_id", "invoice_type", "tax_id")
-    return _as_money(_collapse(taxes, keys, _TAX_TEXTS, _TAX_LOWS, _TAX_SUMS), _TAX_SUMS)
+    added = {
+        "tax_sum": F.when(F.col("tax_is_sum"), F.col("value_total")),
+        "tax_sub": F.when(~F.col("tax_is_sum"), F.col("value_total")),
+    }
+    sums = (*_TAX_SUMS, *added)
+    return _as_money(_collapse(taxes.withColumns(added), keys, _TAX_TEXTS, _TAX_LOWS, sums), sums)
+
+
+def invoice_totals(invoices: DataFrame) -> DataFrame:
+    """Header figures per closure and invoice type."""
+    amounts = ("invoice_subtotal", "invoice_discount", "invoice_total")
+    return invoices.groupBy("register_closure_id", "invoice_type").agg(
+        F.min("invoice_consecutive").alias("invoice_consecutive_from"),
+        F.max("invoice_consecutive").alias("invoice_consecutive_to"),
+        F.count("id").alias("invoice_quantity"),
+        *[F.sum(name).cast(MONEY).alias(name) for name in amounts],
+    )
 
 
 def _json_object(entry: Getter, layout: dict[str, str | None]) -> Column:
@@ -222,109 +247,63 @@ def taxes_json(totals: DataFrame) -> DataFrame:
 
 
 def _totals_json(totals: DataFrame, name: str, layout: dict[str, str | None]) -> DataFrame:
-    record = F.struct(*[F.col(source) for source in layout.values() if source is not None])
     return (
         totals.groupBy("register_closure_id", "invoice_type")
-        .agg(F.collect_list(record).alias("entries"))
+        .agg(F.collect_list(_record(layout)).alias("entries"))
         .select("register_closure_id", "invoice_type", _json_array(F.col("entries"), layout).alias(name))
     )
 
 
-def closure_facts(invoices: DataFrame, real_tax_names: bool = False) -> DataFrame:
-    """All that a closure needs from its invoices, one row per closure, invoice type and {header, payment code, tax}.
+def _record(layout: dict[str, str | None]) -> Column:
+    return F.struct(*[F.col(source) for source in layout.values() if source is not None])
 
-    Every attached invoice becomes one header fact plus a fact per payment and per tax, and one grouping sums them all:
-    the invoices are scanned, joined and shuffled once instead of once per total. Partial sums run before the shuffle.
-    """
-    def parsed(payload: str, fields) -> Column:
-        return F.transform(elements(F.col(payload)), lambda element: F.struct(*read_fields(element, fields)))
-
-    def fact(header=None, payment=None, tax=None) -> Column:
-        return F.struct(
-            (header if header is not None else F.lit(None)).alias("header"),
-            (payment if payment is not None else F.lit(None)).alias("payment"),
-            (tax if tax is not None else F.lit(None)).alias("tax"),
-        )
 
-    header = F.struct("id", "invoice_consecutive", "invoice_subtotal", "invoice_discount", "invoice_total")
-    nothing = F.array()
-    facts = F.concat(
-        F.array(fact(header=header)),
-        F.coalesce(
-            F.transform(parsed("invoice_payment_types", PAYMENT_FIELDS), lambda entry: fact(payment=entry)), nothing
-        ),
-        F.coalesce(
-            F.transform(parsed("invoice_taxes", tax_fields(real_tax_names)), lambda entry: fact(tax=entry)), nothing
-        ),
-    )
+def _per_closure(totals: DataFrame, **columns: Column) -> DataFrame:
+    """Totals per closure and invoice type as one row per closure, with the aggregate columns of every type side by side.
 
-    kind = (
-        F.when(F.col("fact.header").isNotNull(), "header")
-        .when(F.col("fact.payment").isNotNull(), "payment")
-        .otherwise("tax")
-    )
-    flat = (
-        invoices.where(F.col("invoice_type").isin(*SUFFIXES))
-        .select("register_closure_id", "invoice_type", F.explode(facts).alias("fact"))
-        .select(
-            "register_closure_id", "invoice_type", kind.alias("kind"), "fact.header.*", "fact.payment.*", "fact.tax.*"
-        )
-        .withColumns(
-            {
-                "consecutive_from": F.col("invoice_consecutive"),
-                "consecutive_to": F.col("invoice_consecutive"),
-                "quantity": F.col("id").isNotNull().cast("long"),
-                "cash_total": F.when(F.col("payment_type_is_cash"), F.col("invoice_payment_value")),
-                "tax_sum": F.when(F.col("tax_is_sum"), F.col("value_total")),
-                "tax_sub": F.when(~F.col("tax_is_sum"), F.col("value_total")),
-            }
-        )
-    )
-    amounts = (
-        *("invoice_subtotal", "invoice_discount", "invoice_total", "cash_total", "tax_sum", "tax_sub"),
-        *_PAYMENT_SUMS,
-        *_TAX_SUMS,
-    )
-    collapsed = _collapse(
-        flat,
-        ("register_closure_id", "invoice_type", "kind", "payment_type_code", "tax_id"),
-        (*_PAYMENT_TEXTS, *_TAX_TEXTS),
-        ("consecutive_from", *_PAYMENT_LOWS, *_TAX_LOWS),
-        ("quantity", *amounts),
-        ("consecutive_to",),
+    Each column is an aggregate of values that :func:`_of_type` limits to one invoice type.
+    """
+    return totals.groupBy(F.col("register_closure_id").alias("id")).agg(
+        *[column.alias(name) for name, column in columns.items()]
     )
-    return _as_money(collapsed, amounts)
 
 
-def closure_summaries(facts: DataFrame) -> DataFrame:
-    """One row per closure: header figures and JSON arrays for sales and refunds, and the cash totals per payment code."""
-    columns = []
-    for kind, suffix in SUFFIXES.items():
-        def of_kind(part: str, value: Column, kind=kind) -> Column:
-            return F.when((F.col("invoice_type") == kind) & (F.col("kind") == part), value)
+def _of_type(kind: str, value: Column) -> Column:
+    return F.when(F.col("invoice_type") == kind, value)
 
-        def record(layout: dict[str, str | None]) -> Column:
-            return F.struct(*[F.col(source) for source in layout.values() if source is not None])
 
-        columns += [
-            F.min(of_kind("header", F.col("consecutive_from"))).alias(f"invoice_consecutive_from{suffix}"),
-            F.max(of_kind("header", F.col("consecutive_to"))).alias(f"invoice_consecutive_to{suffix}"),
-            F.sum(of_kind("header", F.col("quantity"))).alias(f"invoice_quantity{suffix}"),
-            *[
-                F.sum(of_kind("header", F.col(f"invoice_{name}"))).cast(MONEY).alias(f"invoice_{name}{suffix}")
-                for name in ("subtotal", "discount", "total")
-            ],
-            *[
-                F.sum(of_kind("tax", F.col(name))).cast(MONEY).alias(f"invoice_{name}{suffix}")
+def closure_figures(invoices: DataFrame, real_tax_names: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Header, payment and tax figures, one row per closure each, from the attached invoices.
+
+    Three independent branches: each scans only its own columns, carries only those through the join, sums before the
+    shuffle, and can run beside the others. The lists hold one entry per payment code or tax of a closure.
+    """
+    headers = invoice_totals(invoices.where(F.col("invoice_type").isin(*SUFFIXES)))
+    header_columns = [name for name in headers.columns if name not in ("register_closure_id", "invoice_type")]
+    payments = payment_totals(explode_payments(invoices))
+    taxes = tax_totals(explode_taxes(invoices, real_tax_names))
+    cash = F.when(F.col("cash_total").isNotNull(), F.struct(F.col("cash_total").alias("value")))
+    types = SUFFIXES.items()
+    return (
+        _per_closure(
+            headers,
+            **{f"{name}{suffix}": F.max(_of_type(kind, F.col(name))) for kind, suffix in types for name in header_columns},
+        ),
+        _per_closure(
+            payments,
+            **{f"_payments{suffix}": F.collect_list(_of_type(kind, _record(PAYMENT_JSON))) for kind, suffix in types},
+            **{f"_cash{suffix}": F.collect_list(_of_type(kind, cash)) for kind, suffix in types},
+        ),
+        _per_closure(
+            taxes,
+            **{f"_taxes{suffix}": F.collect_list(_of_type(kind, _record(TAX_JSON))) for kind, suffix in types},
+            **{
+                f"invoice_{name}{suffix}": F.sum(_of_type(kind, F.col(name))).cast(MONEY)
+                for kind, suffix in types
                 for name in ("tax_sum", "tax_sub")
-            ],
-            F.collect_list(of_kind("payment", record(PAYMENT_JSON))).alias(f"_payments{suffix}"),
-            F.collect_list(of_kind("tax", record(TAX_JSON))).alias(f"_taxes{suffix}"),
-            F.collect_list(
-                of_kind("payment", F.when(F.col("cash_total").isNotNull(), F.struct(F.col("cash_total").alias("value"))))
-            ).alias(f"_cash{suffix}"),
-        ]
-    return facts.groupBy("register_closure_id").agg(*columns)
+            },
+        ),
+    )
 
 
 def rebuild_closures(
@@ -343,11 +322,10 @@ def rebuild_closures(
     spans = closure_spans(closures)
     invoices = attach_invoices(spans, tables["erp_pos_invoice"])
     expenses = expense_totals(attach_expenses(spans, tables["erp_pos_expenses"]))
-    summaries = closure_summaries(closure_facts(invoices, real_tax_names))
 
-    joined = closures.join(
-        summaries.withColumnRenamed("register_closure_id", "id"), "id", "left"
-    ).join(expenses.withColumnRenamed("register_closure_id", "id"), "id", "left")
+    joined = closures.join(expenses.withColumnRenamed("register_closure_id", "id"), "id", "left")
+    for figures in closure_figures(invoices, real_tax_names):
+        joined = joined.join(figures, "id", "left")
     for suffix in SUFFIXES.values():
         totals = F.col(f"_cash{suffix}")
         if cash_grain == "payment_type":

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.payload import elements
+from ledgerlane.functions.payload import elements, entry
 from ledgerlane.sources.tables import TENANT
 
 
@@ -49,7 +49,7 @@ def payload_key_drift(
     """
     frame = _only(df, tenant_col, present_in, missing_in)
     keyed = frame.select(F.col(tenant_col).alias("tenant"), F.explode(elements(F.col(json_col))).alias("element"))
-    names = F.map_keys(F.try_variant_get("element", "$", "map<string, variant>"))
+    names = F.map_keys(entry(F.col("element")))
     used = keyed.select("tenant", F.explode(names).alias("name")).distinct()
     return _lacking(used, frame, tenant_col, present_in, missing_in)
 

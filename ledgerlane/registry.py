@@ -216,7 +216,7 @@ def closure_payments(t):
 
 @register_query
 def closure_payment_totals(t):
-    return closures.payment_totals(closures.explode_payments(_invoices(t)))
+    return closures.payment_totals(closures.explode_payments(_invoices(t))).drop("cash_total")
 
 
 @register_query
@@ -246,7 +246,7 @@ def closure_taxes_real_names(t):
 
 @register_query
 def closure_tax_totals(t):
-    return closures.tax_totals(closures.explode_taxes(_invoices(t)))
+    return closures.tax_totals(closures.explode_taxes(_invoices(t))).drop("tax_sum", "tax_sub")
 
 
 @register_query

@@ -11,6 +11,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerlane")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
