@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from typing import Literal
 
 from pyspark.sql import Column
@@ -16,6 +16,11 @@ EMITTED = "Emision"
 ACCEPTED = "Valida"
 
 
+def moment(ts: datetime) -> Column:
+    """A zoneless timestamp literal; unlike a literal made from a ``datetime`` it does not depend on any time zone."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def every(predicates: list[Column]) -> Column:
     """The conjunction of the predicates (TRUE when there are none)."""
     result = F.lit(True)

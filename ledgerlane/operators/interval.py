@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.conditions import moment
+
 # At most this many (interval, day) rows are broadcast: they have a handful of short columns, so about 10 MB.
 BROADCAST_DAYS = 100_000
 
@@ -43,7 +45,7 @@ def join_intervals(spans: DaySpans, points: DataFrame, keys: Sequence[str], at:
     which the adaptive skew join splits a day of one key that holds a large share of the points. Points older than
     every interval are cut off at the scan.
     """
-    recent = F.lit(False) if spans.earliest is None else F.col(at) >= F.lit(spans.earliest).cast("timestamp_ntz")
+    recent = F.lit(False) if spans.earliest is None else F.col(at) >= moment(spans.earliest)
     dated = points.where(recent).withColumn("_day", F.to_date(at))
     days = F.broadcast(spans.days) if spans.count <= BROADCAST_DAYS else spans.days.hint("merge")
     inside = F.col(at).between(F.col(spans.start), F.col(spans.end))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.conditions import every, for_company
+from ledgerlane.functions.conditions import every, for_company, moment
 from ledgerlane.functions.labels import contact, identification
 from ledgerlane.operators.lookup import lookup
 from ledgerlane.sources.tables import Tables
@@ -19,7 +19,7 @@ COMPANY_LABEL, CONTACT_LABEL = "Empresa", "Contacto"
 
 def _between(column: str, from_ts: datetime, to_ts: datetime) -> Column:
     """Inclusive on both ends; an end of 23:59:59 leaves out the last fraction of a second."""
-    return F.col(column).between(F.lit(from_ts).cast("timestamp_ntz"), F.lit(to_ts).cast("timestamp_ntz"))
+    return F.col(column).between(moment(from_ts), moment(to_ts))
 
 
 def _contact() -> Column:

@@ -10,6 +10,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerlane")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

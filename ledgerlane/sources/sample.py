@@ -12,27 +12,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.money import MONEY
+from ledgerlane.functions.payload import PAYMENT_FIELDS, REAL_TAX_NAMES, TAX_FIELDS
 from ledgerlane.sources.tables import TENANT
 
-# Spelling -> payment keys (code, name, is cash, account code, account name, value, reference).
-PAYMENT_KEYS = {
-    0: ("PaymentTypeCode", "PaymentTypeName", "PaymentTypeIsCash", "AccountCode_Bankcash", "AccountName_Bankcash",
-        "InvoicePaymentValue", "InvoicePaymentReference"),
-    1: ("paymentTypeCode", "paymentTypeName", "paymentTypeIsCash", "accountCode_Bankcash", "accountName_Bankcash",
-        "invoicePaymentValue", "invoicePaymentReference"),
-    2: ("payment_type_code", "payment_type_name", "payment_type_is_cash", "account_code_bankcash",
-        "account_name_bankcash", "invoice_payment_value", "invoice_payment_reference"),
-}
-
-# Spelling -> tax keys (id, name, category, is sum, percent, base, is discriminate, sub total, value).
+# Spellings 0, 1 and 2 of the payload keys: the first, second and last alias of each field. Spelling 1 writes the tax
+# name under its real key, and no tax gives an exemption reason.
+PAYMENT_KEYS = {n: [field.aliases[k] for field in PAYMENT_FIELDS] for n, k in enumerate((0, 1, -1))}
 TAX_KEYS = {
-    0: ("TaxId", "TaxNametaxName", "TaxCategory", "TaxIsSum", "TaxPercentValue", "TaxBase", "TaxIsDiscriminate",
-        "_SubTotal", "_ValueTotal"),
-    1: ("taxId", "taxName", "taxCategory", "taxIsSum", "taxPercentValue", "taxBase", "taxIsDiscriminate",
-        "_subTotal", "_valueTotal"),
-    2: ("tax_id", "tax_nametax_name", "tax_category", "tax_is_sum", "tax_percent_value", "tax_base",
-        "tax_is_discriminate", "subTotal", "valueTotal"),
-}
+    n: [
+        REAL_TAX_NAMES[1] if (n, field.name) == (1, "tax_name") else field.aliases[k]
+        for field in TAX_FIELDS
+        if field.name != "tax_exemption_reason"
+    ]
+    for n, k in enumerate((0, 1, -1))
+}
 
 
 def _text(column: Column) -> Column:
@@ -43,10 +36,10 @@ def _money(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast(MONEY)
 
 
-def _spelled(spelling: Column, keys: dict[int, tuple[str, ...]], values: list[Column]) -> Column:
+def _spelled(spelling: Column, keys: dict[int, list[str]], values: list[Column]) -> Column:
     """JSON object text with the keys of the row's spelling and the given JSON values."""
 
-    def text(names: tuple[str, ...]) -> Column:
+    def text(names: list[str]) -> Column:
         parts = [F.lit("{")]
         for i, (name, value) in enumerate(zip(names, values, strict=True)):
             parts += [F.lit(f'{"," if i else ""}"{name}":'), value]

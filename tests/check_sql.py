@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -49,6 +50,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     from __spark_entry__ import oracle_sql, queries
 
     spark, connection, failures = local_session(8), connect(sf_dir), 0
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("CHECK_TIME_ZONE", "UTC"))
     statements = oracle_sql()
     for name, run in queries().items():
         if names and name not in names:

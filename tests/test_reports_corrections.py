@@ -253,3 +253,12 @@ def test_tenant_partitions_are_pruned(by_tenant, spark, tmp_path):
 def test_collation_ignores_case_and_accents(spark):
     frame = with_collation(spark.createDataFrame([("Válida", 1)], "state string, n int"), "UNICODE_CI_AI")
     assert frame.where(F.col("state") == "VALIDA").count() == 1
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, tables):
+    frames = tables([deal("first"), deal("end", created_at=JAN[1])])
+    spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+    try:
+        assert {row.Nombre for row in crm.won_deals(frames, 1, *JAN).collect()} == {"first", "end"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
