@@ -161,9 +161,10 @@ def serial_inventory_flow(tables: Tables, company_key: int | None = None, headin
 
     Movements created at the same moment follow in the order of their document number and shown values.
     """
-    # Read twice, for the headers and for the movements; stored, the whole stock is summed only once.
+    # Both are read twice (headers and movements; sampling and sorting for the numbers), and both are small next to the
+    # movements scanned for them. Stored, the whole stock is summed once and the movements are joined once.
     broken = store(broken_serials(tables, company_key), "broken-serials")
-    rows = flow_rows(tables, broken)
+    rows = store(flow_rows(tables, broken), "flow-rows")
     order = [F.col(f"_{name}") for name in _SERIAL_ORDER] + [
         F.col(name)
         for name in (
