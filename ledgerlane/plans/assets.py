@@ -75,8 +75,9 @@ def locked_assets(log: DataFrame) -> DataFrame:
 def rebuild_depreciation_log(items: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Replace the open log rows of every asset in ``items`` by its schedule.
 
-    Returns the whole new log and the rejected assets. Items without a number of months are no assets. An asset with booked depreciation is rejected and its
-    rows stay untouched; a row whose done flag is NULL is neither open nor a lock, so it stays too.
+    Returns the whole new log and the rejected assets. Items without a number of months are no assets. An asset with
+    booked depreciation is rejected and its rows stay untouched; a row whose done flag is NULL is neither open nor a lock,
+    so it stays too.
     """
     assets = items.where(F.col("item_fixed_asset_depreciation_months").isNotNull()).withColumn("item_id", F.col("id"))
     locked = locked_assets(log)
