@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +27,48 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="ledgerlane-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Scratch folders of the scopes that are open, the innermost last.
+_scopes: list[list[str]] = []
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system as the session sees them, also where only Spark can reach it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared one, removed at the end of the open ``scratch_scope``, else with the session's JVM."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop, files = _hadoop(spark, path)
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the copies stored inside it: they go when it ends, so results that read them must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            hadoop, files = _hadoop(spark, path)
+            files.delete(hadoop, True)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so a lost executor never recomputes it differently."""
+    """Write ``df`` once to a scratch folder and read it back, so a lost executor never recomputes it differently."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark, label)}/rows"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
