@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.llm import mixing, sharding, token_files
+from ledgerlane.llm import decontamination, mixing, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
 from ledgerlane.llm.common import table
 from ledgerlane.sources.publish import scratch
 
@@ -20,6 +20,11 @@ SHARDS = 8
 SEED = 0
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = token_files.write_corpus(
         table(spark, sf_dir, "documents"), scratch(spark, "token-files"), public_tokenizers.path(TOKENIZER)
@@ -27,6 +32,32 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_corpus(spark, token_files.Corpus.load(corpus.uri))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality_rules.score_documents(table(spark, sf_dir, "documents"), trusted)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    printed = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", printed.alias("fingerprint"), "component_id")
+
+
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.shared_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    uri = scratch(spark, "warc")
+    files = warc.write_archives(table(spark, sf_dir, "pages"), uri)
+    return warc.read_archives(spark, uri, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score_documents(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_rows(mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, seed=SEED))
 
@@ -38,4 +69,22 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op2_token_files, op8_mixing, op9_sharding)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: query
+    for query in (
+        op1_toxicity,
+        op2_token_files,
+        op3_quality_rules,
+        op4_simhash,
+        op5_substring,
+        op6_warc,
+        op7_quality_classifier,
+        op8_mixing,
+        op9_sharding,
+        op10_decontamination,
+    )
+}
