@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import texts_of
+from ledgerlane.llm.common import chunks, drop_rows, texts_of
 from ledgerlane.llm.training import held_out, labelled_sample
 
 #: Training bounds: documents a class, sentences a document, units a sentence.
@@ -48,7 +48,7 @@ OTHERS, RIDGE = 12_000, 1e-5
 ROUNDS, HARD = 5, 100.0
 #: Beyond these a unit's decision says no more.
 LOWEST, HIGHEST = -2.0, 1.0
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 _LETTERS = 28  # border, a to z, any byte of another letter
 _TABLE = bytes(ord(chr(c).lower()) if c < 128 else ord("{") for c in range(256))
@@ -148,10 +148,13 @@ class Scorer:
 
     def decide(self, texts: list[bytes]) -> np.ndarray:
         """The two highest decisions of each text's units."""
+        return np.vstack([np.zeros((0, 2)), *(self._decide(part) for part in chunks(texts))])
+
+    def _decide(self, texts: list[bytes]) -> np.ndarray:
         rows, known = [units(text) for text in texts], self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new = list(set().union(*rows).difference(known)) if rows else []
+        new = list(set().union(*rows).difference(known))
         for start in range(0, len(new), 8192):
             part = new[start : start + 8192]
             known.update(zip(part, self.model.decide(part).tolist()))
@@ -344,3 +347,8 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, folds
     found = rows.mapInArrow(score, "doc_id long, text_hash long, score double")
     predicted = F.when(F.col("score") >= threshold, 1).otherwise(0)
     return found.select("doc_id", "text_hash", held_out(F.col("doc_id"), folds, kept_back).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """``docs`` without the documents that a model trained on their labels predicts to be toxic."""
+    return drop_rows(docs, score_documents(docs, train(docs, labels), threshold).where("predicted = 1").select("doc_id", "text_hash"))
