@@ -17,6 +17,8 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.sources.publish import store
+
 
 #: Fixed value of the contracts: a word is a run of anything but ASCII white space. ``bytes.split()`` cuts the same.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,7 +59,7 @@ def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
 def replacing(files: pa.fs.FileSystem, path: str) -> Iterator[pa.NativeFile]:
     """A file that appears under its name only when whole, so a repeated or lost task leaves no half of one."""
     unfinished = f"{path}.{uuid.uuid4().hex}"
-    with files.open_output_stream(unfinished) as out:
+    with files.open_output_stream(unfinished, compression=None) as out:
         yield out
     files.move(unfinished, path)
 
@@ -102,6 +104,7 @@ def drop_rows(docs: DataFrame, named: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``named`` (doc_id, text_hash) names; a NULL id is an id like any other here."""
     own = fresh(docs, "_text_hash")
     marked = docs.withColumn(own, F.xxhash64(F.col("text").cast("string")))
-    named = small(named.select(F.col("doc_id").alias("_named_id"), F.col("text_hash").alias("_named_hash")))
+    named = store(named.select(F.col("doc_id").alias("_named_id"), F.col("text_hash").alias("_named_hash")).distinct(), "dropped")
+    named = small(named)
     same = marked["doc_id"].cast("long").eqNullSafe(named["_named_id"]) & (marked[own] == named["_named_hash"])
     return marked.join(named, same, "left_anti").drop(own)

@@ -171,4 +171,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` without the documents that share a passage with an item."""
-    return drop_rows(docs, overlaps(docs, benchmark, least).select("doc_id", "text_hash").distinct())
+    return drop_rows(docs, overlaps(docs, benchmark, least).select("doc_id", "text_hash"))

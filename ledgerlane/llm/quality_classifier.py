@@ -3,7 +3,8 @@
 Every word has an index vector, a few +1 and -1 at places that follow from the word's hash, and a context vector, the sum of the index vectors
 of its neighbours in the training documents; its word vector is the sum of both, each scaled to length 1. The
 shape of a word (its kind of first letter and of its last three characters) is a word of a second text, read the same way. A document's
-features are the means of its word vectors and of its shape vectors, the lengths of both means (long if words repeat) and its length. A network with
+features are the means of its word vectors and of its shape vectors, the lengths of both means and the mean products of neighbouring vectors (large if
+words repeat), and its length. A network with
 one hidden layer is fitted on a bounded sample of labelled documents, a part of which is set aside to fit the temperature that
 divides its output before the logistic curve.
 
@@ -81,11 +82,14 @@ def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
     parts = []
     for words in read(texts):
         counts, found = words.counts, np.zeros((len(texts), DIMENSIONS))
-        full = np.flatnonzero(counts)
+        full, rows, owner = np.flatnonzero(counts), vectors[bucket(words)], words.owner
         if len(full):
-            found[full] = np.add.reduceat(vectors[bucket(words)], (words.ends - counts)[full], axis=0, dtype=np.float64)
+            found[full] = np.add.reduceat(rows, (words.ends - counts)[full], axis=0, dtype=np.float64)
         found /= np.maximum(counts, 1)[:, None]
-        parts += [found, np.linalg.norm(found, axis=1, keepdims=True)]
+        pairs = np.flatnonzero(owner[:-1] == owner[1:])
+        products = np.einsum("nd,nd->n", rows[pairs], rows[pairs + 1], dtype=np.float64)
+        near = np.bincount(owner[pairs], weights=products, minlength=len(texts)) / np.maximum(counts - 1, 1)
+        parts += [found, np.linalg.norm(found, axis=1, keepdims=True), near[:, None]]
     return np.hstack([*parts, np.log1p(counts)[:, None]])
 
 
@@ -137,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, kept_back: int = 2
     """Fit on at most ``documents`` labelled documents a class outside the fold kept back."""
     sample, totals = labelled_sample(docs, labels, "quality", folds, kept_back, documents)
     index = index_vectors()
-    n_features = 2 * (DIMENSIONS + 1) + 1
+    n_features = 2 * (DIMENSIONS + 2) + 1
     if len(totals) < 2:
         share = totals.get(1, 0) / (sum(totals.values()) or 1) if totals else 0.5
         flat = (np.zeros((n_features, 1)), np.zeros(1), np.zeros(1), float(np.log((share + 1e-3) / (1 - share + 1e-3))))

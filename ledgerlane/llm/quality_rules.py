@@ -1,8 +1,8 @@
 """Quality rules: simple counts, and a log-likelihood ratio of hashed n-grams between trusted text and the raw corpus.
 
 Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets, counted over all trusted documents and over all documents.
-A document's score is the mean, over its n-grams, of the log of the smoothed trusted share of the bucket over its raw share; the
-mean makes long and short documents comparable. Counts are integers, so the scores do not depend on how the rows were dealt out.
+A document's score is the mean, over its n-grams, of the log of the bucket's count in trusted text over the count that its share of the
+raw corpus lets expect there, both smoothed by ``SMOOTHING``; the mean makes long and short documents comparable. Counts are integers, so the scores do not depend on how the rows were dealt out.
 A document is kept if the base rules hold and its score is at least ``threshold``.
 
 NULL and empty texts have no words: all counts are 0, the score is 0 and the base rules fail. Rows without an id are never
@@ -24,10 +24,10 @@ from ledgerlane.llm.tokens import Words, hashed
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
-#: Added to every bucket's count.
-SMOOTHING = 1.0
+#: Added to a bucket's trusted and expected counts, so rare n-grams say little in a small corpus.
+SMOOTHING = 10.0
 #: Mean log ratio below which a document is unlike the trusted ones.
-THRESHOLD = -0.25
+THRESHOLD = -0.1
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -84,7 +84,7 @@ def _count(rows: DataFrame) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame) -> np.ndarray:
-    """Per bucket the log of its trusted share over its raw share, from all rows of ``docs``; at most ``BUCKETS`` rows come back."""
+    """Per bucket the log of its trusted over its expected count, from all rows of ``docs``; at most ``BUCKETS`` rows come back."""
     named = small(trusted_ids.select(F.col("doc_id").cast("long").alias("_trusted")).where("_trusted IS NOT NULL").distinct())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(named, F.col("doc_id") == F.col("_trusted"), "left").select("text", F.col("_trusted").isNotNull().alias("trusted"))
@@ -93,8 +93,8 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame) -> np.ndarray:
         raw[row.bucket], trusted[row.bucket] = row.raw, row.trusted
     if not trusted.any():
         return np.zeros(BUCKETS)
-    share = [np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * BUCKETS)) for counts in (trusted, raw)]
-    return share[0] - share[1]
+    expected = raw * (trusted.sum() / raw.sum())
+    return np.log((trusted + SMOOTHING) / (expected + SMOOTHING))
 
 
 def score_documents(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -151,16 +151,17 @@ def _shards(distinct: DataFrame, radius: int) -> DataFrame:
     rows, done = _split(distinct.select(F.lit(0).cast("long").alias("mask"), "fingerprint"), radius), []
     fixed = 0
     while True:
-        fixed += (BITS - fixed) // (radius + 1)
-        if BITS - fixed <= SHARD.bit_length():  # distinct fingerprints of a shard are few by now
+        more = (BITS - fixed) // (radius + 1)
+        fixed += more
+        if not more or BITS - fixed <= SHARD.bit_length():  # distinct fingerprints of a shard are few by now
             break
         large = store(rows.groupBy("mask", "value").count().where(F.col("count") > SHARD).select("mask", "value"), "simhash-large")
         if large.isEmpty():
             break
         done.append(rows.join(large, ["mask", "value"], "left_anti"))
         rows = _split(rows.join(large, ["mask", "value"], "left_semi"), radius)
-    for more in done:
-        rows = rows.unionByName(more)
+    for part in done:
+        rows = rows.unionByName(part)
     return rows
 
 

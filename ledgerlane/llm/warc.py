@@ -157,7 +157,7 @@ def read_archives(spark: SparkSession, uri: str, files: DataFrame) -> DataFrame:
         names = [part.split()[0] for part in _ROWS.split(", ")]
         for batch in batches:
             for name in batch.column("file").to_pylist():
-                with source.open_input_stream(f"{root}/{name}") as archive:
+                with source.open_input_stream(f"{root}/{name}", compression=None) as archive:
                     rows = []
                     for record in frames(archive):
                         rows.append(_told(record))
