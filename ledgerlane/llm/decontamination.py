@@ -91,11 +91,11 @@ class Block:
 
 
 def best_run(equal: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and matches of the run with the most matches less ``COST`` per mismatch; the first of equals."""
+    """Start, end and matches of the run with the most matches less ``COST`` per mismatch; of equals the longest of those that end last."""
     score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -COST))])
     gain = score - np.minimum.accumulate(score)
-    end = int(np.argmax(gain))
-    start = int(np.flatnonzero(score[: end + 1] == score[: end + 1].min())[-1])
+    end = len(equal) - int(np.argmax(gain[::-1]))
+    start = int(np.argmin(score[: end + 1]))
     return start, end, int(equal[start:end].sum())
 
 
