@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, kept_back: int = 2
     sample, totals = labelled_sample(docs, labels, "quality", folds, kept_back, documents)
     index = index_vectors()
     n_features = 2 * (DIMENSIONS + 2) + 1
-    if len(totals) < 2:
+    if sample.select("label").distinct().count() < 2:
         share = totals.get(1, 0) / (sum(totals.values()) or 1) if totals else 0.5
         flat = (np.zeros((n_features, 1)), np.zeros(1), np.zeros(1), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
         return Model(_unit(index).astype(np.float32), np.zeros(n_features), np.ones(n_features), flat)

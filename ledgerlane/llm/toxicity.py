@@ -11,7 +11,7 @@ mapped units, causes are chosen anew by its decision, and it is fitted again. As
 subsequences, it becomes one table of subsequence weights. A logistic curve over the two highest decisions of a document's units,
 fitted on whole labelled documents, gives its score.
 
-NULL, empty texts and texts without letters have no unit and get the score of the lowest decisions. Without labels of
+NULL, empty texts and texts without letters have no unit and get the score of the lowest decisions. Without labelled documents of
 both classes every score is the share of label 1 (0.5 without labels). Rows without an id are scored and are not held out. A
 repeated row is scored each time. An empty table gives no rows. Other columns are ignored.
 """
@@ -307,7 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, kept_back: int = 1
     sample, totals = labelled_sample(docs, labels, "toxic", folds, kept_back, documents)
     share = totals.get(1, 0) / (sum(totals.values()) or 1) if totals else 0.5
     flat = Model(np.zeros(_LETTERS**ORDER, np.float32), 0.0, (0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
-    if len(totals) < 2:
+    if sample.select("label").distinct().count() < 2:
         return flat
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
