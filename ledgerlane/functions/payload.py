@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Literal, NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.money import MONEY, or_zero
@@ -63,6 +63,18 @@ def tax_fields(real_names: bool = False) -> tuple[Field, ...]:
     )
 
 
+#: A key may come twice in an object; as in the source database the last value counts. Spark refuses such text otherwise.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def allow_repeated_keys(df: DataFrame) -> DataFrame:
+    """``df``, whose session is made to read objects with repeated keys; every job that reads payloads asks for it."""
+    session = df.sparkSession
+    if session.conf.get(REPEATED_KEYS) != "true":
+        session.conf.set(REPEATED_KEYS, "true")
+    return df
+
+
 def elements(payload: Column) -> Column:
     """The elements of a JSON array as ARRAY<VARIANT>; NULL for NULL, malformed or non-array text."""
     return F.try_variant_get(F.try_parse_json(payload), "$", "array<variant>")

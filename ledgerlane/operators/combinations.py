@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _CHUNK = 1 << 16  # tuple numbers generated per row before they are spread over the tasks
@@ -25,7 +25,7 @@ def combination_counts(options: DataFrame, axes: Sequence[str]) -> DataFrame:
 def combinations(options: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Every choice of one option per axis, as ``product, ordinal, combination``, the last axis varying fastest.
 
-    ``options`` has ``product, axis, pos, value`` with ``pos`` the 0-based place in the axis' list. A product that lacks
+    ``options`` has ``product, axis, pos, value``; ``pos`` orders the axis' list and may have gaps. A product that lacks
     an axis has no combinations; without axes every product has the empty one. Tuples are numbered and each number is
     read as mixed-radix digits, one digit per axis, which look their option up by equality. So nothing is crossed,
     no option list is gathered in one place, and the numbers of one large product are made on many tasks.
@@ -38,12 +38,13 @@ def combinations(options: DataFrame, axes: Sequence[str]) -> DataFrame:
     last = F.least(first + _CHUNK, F.col("combinations")) - 1
     tuples = chunks.withColumn("ordinal", F.explode(F.sequence(first, last)))
 
+    # The place in the list, whatever the positions are; equal positions follow in value order.
+    listed = Window.partitionBy("product", "axis").orderBy("pos", "value")
+    placed = options.where(F.col("axis").isin(list(axes))).withColumn("_digit", (F.row_number().over(listed) - 1).cast("long"))
     for k, axis in enumerate(axes):
         stride = " * ".join(["1L", *(f"size_{j}" for j in range(k + 1, len(axes)))])
         digit = F.expr(f"(ordinal div ({stride})) % size_{k}")
-        choices = options.where(F.col("axis") == axis).select(
-            "product", F.col("pos").cast("long").alias("_digit"), F.col("value").alias(f"value_{k}")
-        )
+        choices = placed.where(F.col("axis") == axis).select("product", "_digit", F.col("value").alias(f"value_{k}"))
         tuples = tuples.withColumn("_digit", digit).join(choices, ["product", "_digit"]).drop("_digit")
     return tuples.select(
         "product", "ordinal", F.array(*[F.col(f"value_{k}") for k in range(len(axes))]).cast("array<string>").alias("combination")

@@ -15,83 +15,95 @@ def _text(value: Column, kind: DataType) -> Column:
     return F.to_json(value) if isinstance(kind, (StructType, MapType, ArrayType)) else value.cast("string")
 
 
-def _whole(path: Column, kind: DataType, left: Column, right: Column) -> Column:
+def _step(name: Column) -> Column:
+    """One step of a path; a name that holds a dot or a backtick is put in backticks, so that no two paths read the same."""
+    quoted = F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`"))
+    return F.when(name.contains(".") | name.contains("`"), quoted).otherwise(name)
+
+
+def _whole(path: Column, kinds: tuple[DataType, DataType], left: Column, right: Column) -> Column:
     return F.array(
-        F.struct(path.alias("path"), _text(left, kind).alias("left"), _text(right, kind).alias("right"))
+        F.struct(path.alias("path"), _text(left, kinds[0]).alias("left"), _text(right, kinds[1]).alias("right"))
     ).cast(_ENTRY)
 
 
-def _differences(path: Column, kind: DataType, left: Column, right: Column) -> Column:
-    """Entries for everything that differs between two values of one type."""
-    nothing = F.array().cast(_ENTRY)
-    if isinstance(kind, StructType):
-        inner = F.flatten(
-            F.array(
-                *[
-                    _differences(
-                        F.concat(path, F.lit(f".{field.name}")),
-                        field.dataType,
-                        left.getField(field.name),
-                        right.getField(field.name),
-                    )
-                    for field in kind.fields
-                ]
-            )
-        )
-    elif isinstance(kind, MapType):
+def _fields(left: StructType, right: StructType) -> list[tuple[str, DataType | None, DataType | None]]:
+    """The fields of both sides, those of the left first, with their type on each side."""
+    sides = [{field.name: field.dataType for field in kind.fields} for kind in (left, right)]
+    return [(name, sides[0].get(name), sides[1].get(name)) for name in dict.fromkeys([*sides[0], *sides[1]])]
+
+
+def _field(side: Column, kind: DataType | None, name: str, other: DataType | None) -> tuple[Column, DataType]:
+    """A field of one side; NULL of the other side's type where it has none."""
+    return (F.lit(None).cast(other), other) if kind is None else (side.getField(name), kind)
+
+
+def _inside(path: Column | None, left_kind: StructType, right_kind: StructType, left: Column, right: Column, skip: Sequence[str] = ()) -> Column:
+    entries = []
+    for name, old_kind, new_kind in _fields(left_kind, right_kind):
+        if name not in skip:
+            old, old_type = _field(left, old_kind, name, new_kind)
+            new, new_type = _field(right, new_kind, name, old_kind)
+            step = _step(F.lit(name))
+            entries.append(_differences(step if path is None else F.concat(path, F.lit("."), step), (old_type, new_type), old, new))
+    return F.flatten(F.array(*entries)) if entries else F.array().cast(_ENTRY)
+
+
+def _differences(path: Column, kinds: tuple[DataType, DataType], left: Column, right: Column) -> Column:
+    """Entries for everything that differs between two values. Values of different types always differ, unless both are NULL."""
+    nothing, (old, new) = F.array().cast(_ENTRY), kinds
+    both_null, one_null = left.isNull() & right.isNull(), left.isNull() | right.isNull()
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        inner = _inside(path, old, new, left, right)
+    elif isinstance(old, MapType) and isinstance(new, MapType) and old.keyType == new.keyType:
         keys = F.array_sort(F.array_union(F.map_keys(left), F.map_keys(right)))
-        inner = F.flatten(F.transform(keys, lambda key: _map_entry(path, kind, left, right, key)))
-    elif isinstance(kind, ArrayType):
+        inner = F.flatten(F.transform(keys, lambda key: _map_entry(path, (old, new), left, right, key)))
+    elif isinstance(old, ArrayType) and isinstance(new, ArrayType):
         length = F.greatest(F.size(left), F.size(right))
         places = F.when(length > 0, F.sequence(F.lit(0), length - 1)).otherwise(F.array().cast("array<int>"))
-        inner = F.flatten(F.transform(places, lambda place: _array_entry(path, kind, left, right, place)))
+        inner = F.flatten(F.transform(places, lambda place: _array_entry(path, (old, new), left, right, place)))
+    elif old == new and not isinstance(old, MapType):
+        return F.when(left.eqNullSafe(right), nothing).otherwise(_whole(path, kinds, left, right))
     else:
-        return F.when(left.eqNullSafe(right), nothing).otherwise(_whole(path, kind, left, right))
+        return F.when(both_null, nothing).otherwise(_whole(path, kinds, left, right))
     # A value against no value is one difference; two values are compared inside.
-    return (
-        F.when(left.isNull() & right.isNull(), nothing)
-        .when(left.isNull() | right.isNull(), _whole(path, kind, left, right))
-        .otherwise(inner)
-    )
+    return F.when(both_null, nothing).when(one_null, _whole(path, kinds, left, right)).otherwise(inner)
 
 
-def _map_entry(path: Column, kind: MapType, left: Column, right: Column, key: Column) -> Column:
+def _map_entry(path: Column, kinds: tuple[MapType, MapType], left: Column, right: Column, key: Column) -> Column:
     """One map key. A key present on one side only differs even if it holds NULL there."""
-    at = F.concat(path, F.lit("."), key.cast("string"))
+    at, values = F.concat(path, F.lit("."), _step(key.cast("string"))), (kinds[0].valueType, kinds[1].valueType)
     old, new = F.element_at(left, key), F.element_at(right, key)
     both = F.map_contains_key(left, key) & F.map_contains_key(right, key)
-    return F.when(both, _differences(at, kind.valueType, old, new)).otherwise(_whole(at, kind.valueType, old, new))
+    return F.when(both, _differences(at, values, old, new)).otherwise(_whole(at, values, old, new))
 
 
-def _array_entry(path: Column, kind: ArrayType, left: Column, right: Column, place: Column) -> Column:
-    at = F.concat(path, F.lit("."), place.cast("string"))
+def _array_entry(path: Column, kinds: tuple[ArrayType, ArrayType], left: Column, right: Column, place: Column) -> Column:
+    at, values = F.concat(path, F.lit("."), place.cast("string")), (kinds[0].elementType, kinds[1].elementType)
     old, new = F.get(left, place), F.get(right, place)
     both = (place < F.size(left)) & (place < F.size(right))
-    return F.when(both, _differences(at, kind.elementType, old, new)).otherwise(
-        _whole(at, kind.elementType, old, new)
-    )
+    return F.when(both, _differences(at, values, old, new)).otherwise(_whole(at, values, old, new))
 
 
 def snapshot_diff(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What differs between the records of two snapshots: one row per record key and path, with both values as text.
 
-    Records are matched on ``keys`` (unique in each snapshot, so the one shuffle is even). A record missing on one
+    Records are matched on ``keys`` (unique in each snapshot, so the one shuffle is even). All columns and nested fields of
+    either side count; one that a side lacks is NULL there. A record missing on one
     side differs in every column it fills on the other. Nested records are compared field by field, maps key by key and
-    lists place by place.
+    lists place by place. Values of different types differ. In paths a name that holds a dot stands in backticks.
     """
-    fields = {field.name: field.dataType for field in left.schema.fields if field.name not in keys}
-    old = left.select(*keys, F.struct(*fields).alias("_old"))
-    new = right.select(*keys, F.struct(*fields).alias("_new"))
-    entries = F.flatten(
-        F.array(
-            *[
-                _differences(F.lit(name), kind, F.col("_old").getField(name), F.col("_new").getField(name))
-                for name, kind in fields.items()
-            ]
-        )
-    )
+
+    def record(frame: DataFrame, name: str) -> DataFrame:
+        columns = [F.col(f"`{column}`") for column in frame.columns if column not in keys]
+        return frame.select(*keys, F.struct(*(columns or [F.lit(0).alias("_")])).alias(name))
+
+    sides = record(left, "_old"), record(right, "_new")
+    kinds = [StructType([field for field in frame.schema.fields if field.name not in keys]) for frame in (left, right)]
+    entries = _inside(None, kinds[0], kinds[1], F.col("_old"), F.col("_new"))
     return (
-        old.join(new, list(keys), "full_outer")
+        sides[0]
+        .join(sides[1], list(keys), "full_outer")
         .select(*keys, F.explode(entries).alias("entry"))
         .select(*keys, "entry.path", "entry.left", "entry.right")
     )

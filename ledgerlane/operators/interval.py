@@ -11,42 +11,45 @@ from pyspark.sql import functions as F
 
 from ledgerlane.functions.conditions import moment
 
-# At most this many (interval, day) rows are broadcast: they have a handful of short columns, so about 10 MB.
-BROADCAST_DAYS = 100_000
+# At most this many (interval, day) rows are broadcast: a handful of short columns each, about 200 bytes, so about 10 MB.
+BROADCAST_DAYS = 50_000
 
 
 class DaySpans(NamedTuple):
-    """Intervals listed once per day they cover, with the facts that decide how to join them."""
+    """Valid intervals and the period they cover."""
 
-    days: DataFrame
+    intervals: DataFrame
     start: str
     end: str
     earliest: datetime | None
-    count: int
+    latest: datetime | None
 
 
 def day_spans(intervals: DataFrame, start: str, end: str) -> DaySpans:
-    """Prepare intervals for :func:`join_intervals`; an interval that ends before it starts contains nothing.
-
-    One small query counts the day rows, because the planner's own estimate ignores that a row may cover many days.
-    """
+    """Prepare intervals for :func:`join_intervals`; an interval that ends before it starts contains nothing."""
     valid = intervals.where(F.col(start) <= F.col(end))
-    first, last = F.to_date(start), F.to_date(end)
-    earliest, count = valid.agg(F.min(start), F.sum(F.datediff(last, first) + 1)).first()
-    days = valid.withColumn("_day", F.explode(F.sequence(first, last)))
-    return DaySpans(days, start, end, earliest, count or 0)
+    earliest, latest = valid.agg(F.min(start), F.max(end)).first()
+    return DaySpans(valid, start, end, earliest, latest)
 
 
 def join_intervals(spans: DaySpans, points: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Inner join of each point with the intervals of the same ``keys`` that contain it, both ends included.
 
-    The day is one of the equality keys. A point has one day, so it meets only the intervals of that day (never all
-    intervals of a busy key) and no match comes twice. Few day rows are broadcast; otherwise it is a sort-merge join, in
-    which the adaptive skew join splits a day of one key that holds a large share of the points. Points older than
-    every interval are cut off at the scan.
+    Intervals are listed per day and the day is one of the equality keys. A point has one day, so it meets only the intervals of
+    that day (never all intervals of a busy key) and no match comes twice. Lists are cut to the days from the first to the last
+    point, so an interval with a wrong date gives no more rows than any other that covers the period; points outside the
+    intervals' period are cut off at the scan. Both bounds and the number of day rows come from one-row queries,
+    because the planner's own estimate ignores that a row may cover many days. Few day rows are broadcast; otherwise it is a
+    sort-merge join, in which the adaptive skew join splits a day of one key that holds a large share of the points.
     """
-    recent = F.lit(False) if spans.earliest is None else F.col(at) >= moment(spans.earliest)
-    dated = points.where(recent).withColumn("_day", F.to_date(at))
-    days = F.broadcast(spans.days) if spans.count <= BROADCAST_DAYS else spans.days.hint("merge")
+    near = F.lit(False) if spans.earliest is None else F.col(at).between(moment(spans.earliest), moment(spans.latest))
+    dated = points.where(near).withColumn("_day", F.to_date(at))
+    first, last = dated.agg(F.min("_day"), F.max("_day")).first()
+    begin = F.greatest(F.to_date(spans.start), F.lit(first).cast("date"))
+    stop = F.least(F.to_date(spans.end), F.lit(last).cast("date"))
+    clipped = spans.intervals.where((begin <= stop) & F.lit(first is not None))
+    count = clipped.agg(F.sum(F.datediff(stop, begin) + 1)).first()[0] or 0
+    days = clipped.withColumn("_day", F.explode(F.sequence(begin, stop)))
+    days = F.broadcast(days) if count <= BROADCAST_DAYS else days.hint("merge")
     inside = F.col(at).between(F.col(spans.start), F.col(spans.end))
     return dated.join(days, [*keys, "_day"]).where(inside).drop("_day")

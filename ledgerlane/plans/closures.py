@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlane.functions.money import MONEY, no_money, or_zero
 from ledgerlane.functions.payload import (
     PAYMENT_FIELDS,
+    allow_repeated_keys,
     elements,
     entry,
     is_malformed,
@@ -107,7 +108,8 @@ def explode_taxes(invoices: DataFrame, real_tax_names: bool = False) -> DataFram
 
 def _explode(invoices: DataFrame, payload: str, fields) -> DataFrame:
     return (
-        invoices.where(F.col("invoice_type").isin(*SUFFIXES))
+        allow_repeated_keys(invoices)
+        .where(F.col("invoice_type").isin(*SUFFIXES))
         .select("register_closure_id", "invoice_type", F.explode(elements(F.col(payload))).alias("element"))
         .select("register_closure_id", "invoice_type", entry(F.col("element")).alias("entry"))
         .select("register_closure_id", "invoice_type", *read_fields(F.col("entry"), fields))
@@ -124,9 +126,7 @@ def payload_rejects(invoices: DataFrame) -> DataFrame:
             ]
         )
     )
-    return (
-        invoices.select("id", "company_key", bad.alias("payloads")).where(F.size("payloads") > 0)
-    )
+    return allow_repeated_keys(invoices).select("id", "company_key", bad.alias("payloads")).where(F.size("payloads") > 0)
 
 
 # What a payment total and a tax total are made of. Columns outside the group key are arbitrary: the smallest is kept.
@@ -311,9 +311,10 @@ def rebuild_closures(
     since: date = SINCE,
     cash_grain: CashGrain = "payment_type",
     real_tax_names: bool = False,
-) -> DataFrame:
-    """The rebuilt closure records.
+) -> tuple[DataFrame, DataFrame]:
+    """The rebuilt closure records, and the invoices whose payloads are no JSON (see :func:`payload_rejects`).
 
+    A rejected payload adds nothing to its closure, so closures are complete only if there are no rejects among their invoices.
     ``cash_grain="payment_type"`` keeps the established output: a closure with several cash payment codes appears
     once per pair of a sale code and a refund code, each row with the totals of its pair. ``"closure"`` gives one row
     per closure with its whole cash total.
@@ -351,7 +352,7 @@ def rebuild_closures(
             _json_array(F.col(f"_payments{suffix}"), PAYMENT_JSON).alias(f"invoice_payment_types{suffix}"),
         ]
 
-    return joined.select(
+    rebuilt = joined.select(
         "id",
         *("company_key", "register_id", "branch_id", "document_id", "document_id_refund"),
         *("register_closure_consecutive", "register_closure_date"),
@@ -369,3 +370,4 @@ def rebuild_closures(
         *("register_opened_at", "register_closure_created_at", "register_closure_created_by"),
         *("register_closure_updated_at", "register_closure_updated_by"),
     )
+    return rebuilt, payload_rejects(invoices.where(F.col("invoice_type").isin(*SUFFIXES)))

@@ -1,14 +1,19 @@
-"""Bulk corrections. Each returns whole corrected tables, to be published as new versions."""
+"""Bulk corrections.
+
+Each comes twice: as a plan that returns whole corrected tables, for small tables and for new published versions, and as a job over
+stored, partitioned tables that reads and rewrites only the partitions holding a row to correct.
+"""
 
 from __future__ import annotations
 
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.conditions import every
+from ledgerlane.sources.publish import rewrite_partitions, scratch_scope, store
 from ledgerlane.sources.tables import Tables
 
 # Closure column linking a document, and the word its description ends with, in the order applied.
@@ -126,6 +131,61 @@ def reopen_register(tables: Tables, company_key: int, register_id: str, date_fro
     }
 
 
+def _partitions_of(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns of a stored table, from the first folder names below it."""
+    table = spark.read.parquet(path)
+    named = table.select(F.input_file_name().alias("file")).limit(1).collect()
+    inside = named[0].file.split(path.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1] if named else ""
+    return [part.split("=")[0] for part in inside.split("/")[:-1] if "=" in part]
+
+
+def reopen_register_partitions(spark: SparkSession, root: str, company_key: int, register_id: str, date_from: date) -> dict[str, int]:
+    """Re-open one register's records in the tables stored under ``root``; returns how many partitions of each were rewritten."""
+    rewritten = {}
+    for row in REOPENINGS:
+        name, _, state, _, new = row
+        path, hit = f"{root}/{name}", _reopened(row, company_key, register_id, date_from)
+        change = F.when(hit, F.lit(new)).otherwise(F.col(state))
+        rewritten[name] = rewrite_partitions(
+            spark, path, lambda df, h=hit: df.where(h), lambda df, c=change, s=state: df.withColumn(s, c), _partitions_of(spark, path)
+        )
+    return rewritten
+
+
+def propagate_closure_descriptions_partitions(
+    spark: SparkSession, root: str, tables: Tables, company_key: int | None = None, register_id: str | None = None
+) -> dict[str, int]:
+    """Write the descriptions of a register's closures into the documents and details stored under ``root``.
+
+    Documents and details are looked up by the ids of the register's closures only. ``tables`` gives the closures and catalogues.
+    """
+    with scratch_scope(spark):
+        patch = store(closure_descriptions(tables, company_key, register_id), "descriptions")
+        documents = spark.read.parquet(f"{root}/erp_document")
+        known = patch.join(documents.select(F.col("id").alias("document_id")), "document_id")
+        details = spark.read.parquet(f"{root}/erp_document_detail").select("document_id")
+        detailed = store(details.join(known, "document_id").distinct(), "descriptions-detailed")
+        known = store(known, "descriptions-known")
+        rewritten = {}
+        for name, key, marks in (("erp_document", "id", detailed), ("erp_document_detail", "document_id", known)):
+            path = f"{root}/{name}"
+            mark = marks.select(F.col("document_id").alias("_document"), F.struct("description").alias("_new"))
+
+            def change(df: DataFrame, key: str = key, mark: DataFrame = mark) -> DataFrame:
+                hit = F.col("_new").isNotNull()
+                described = df.join(mark, F.col(key) == F.col("_document"), "left")
+                changed = {"document_description": F.when(hit, F.col("_new.description")).otherwise(F.col("document_description"))}
+                if key == "document_id":
+                    changed["document_detail_description"] = F.when(~hit, F.col("document_detail_description"))
+                return described.withColumns(changed)
+
+            def touched(df: DataFrame, key: str = key, mark: DataFrame = mark) -> DataFrame:
+                return df.join(mark, F.col(key) == F.col("_document"), "left_semi")
+
+            rewritten[name] = rewrite_partitions(spark, path, touched, change, _partitions_of(spark, path))
+    return rewritten
+
+
 def reopen_counts(tables: Tables, company_key: int, register_id: str, date_from: date) -> DataFrame:
     """How many rows of each table :func:`reopen_register` changes."""
     counts = [

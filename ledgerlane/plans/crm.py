@@ -92,7 +92,8 @@ def new_contacts(tables: Tables, company_key: int | None, from_ts: datetime, to_
 
     Our reading of an unfinished report: the origin is the person's, and a contact without deals is listed once.
     Contacts with and without deals are two branches, because an outer join could not split a contact that
-    holds a large share of all deals, while an inner join can.
+    holds a large share of all deals, while an inner join can. The first branch names the contacts the second leaves out, so only
+    the period's contacts are compared. For one company only that company's deals are read.
     """
     tests = [*for_company(company_key, F.col("company_key")), _between("person_created_at", from_ts, to_ts)]
     people = (
@@ -102,16 +103,18 @@ def new_contacts(tables: Tables, company_key: int | None, from_ts: datetime, to_
         .join(_origins(tables), "origin_id")
         .drop("origin_id")
     )
-    deals = tables["crm_deals"].select(
-        "deal_name", "amount", "pipeline_id", "pipeline_stage_id", "item_id", "created_at", "person_id"
+    deals = (
+        tables["crm_deals"]
+        .where(every(for_company(company_key, F.col("company_key"))))
+        .select("deal_name", "amount", "pipeline_id", "pipeline_stage_id", "item_id", "created_at", "person_id")
     )
     with_deals = deals.join(people, F.col("person_id") == F.col("contact_id"))
+    holders = with_deals.select("contact_id").distinct()
     with_deals = lookup(with_deals, "pipeline_id", _pipelines(tables).withColumnRenamed("pipeline_id", "_p"), "_p")
     stages = _stages(tables, won_only=False).withColumnRenamed("pipeline_stage_id", "_s")
     with_deals = lookup(with_deals, "pipeline_stage_id", stages, "_s")
     with_deals = lookup(with_deals, "item_id", _plans(tables), "plan_id")
 
-    holders = deals.where(F.col("person_id").isNotNull()).select(F.col("person_id").alias("contact_id")).distinct()
     without_deals = people.join(holders, "contact_id", "left_anti")
     return _deal_report(
         with_deals.unionByName(without_deals, allowMissingColumns=True), F.col("contact")

@@ -10,7 +10,7 @@ from ledgerlane.functions.labels import sql_datetime
 from ledgerlane.functions.money import MONEY, no_money
 from ledgerlane.operators.lookup import lookup
 from ledgerlane.operators.numbering import number_rows
-from ledgerlane.sources.publish import store
+from ledgerlane.sources.publish import scratch_scope, store
 from ledgerlane.sources.tables import Tables
 
 # Movement types, the status of an applied movement, and report texts.
@@ -89,11 +89,13 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string").alias(name)
 
 
-def flow_rows(tables: Tables, broken: DataFrame) -> DataFrame:
+def flow_rows(tables: Tables, broken: DataFrame, company_key: int | None = None) -> DataFrame:
     """Header and movement rows of every broken serial, unnumbered, with the columns that order them.
 
     A serial's movements are all its movements, applied or not. A NULL serial has no rows (see :func:`flow_rejects`).
+    ``company_key`` limits the scans of movements and documents, as ``broken`` was limited.
     """
+    company = every(for_company(company_key, F.col("company_key")))
     serials = broken.where(F.col("item_serial_number").isNotNull())
     order = [F.col(name).alias(f"_{name}") for name in _SERIAL_ORDER]
     headers = serials.select(
@@ -111,7 +113,7 @@ def flow_rows(tables: Tables, broken: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("inventory_description"),
     )
 
-    documents = tables["erp_inventory"].select(
+    documents = tables["erp_inventory"].where(company).select(
         "company_key",
         F.col("id").alias("inventory_id"),
         "inventory_type",
@@ -123,7 +125,7 @@ def flow_rows(tables: Tables, broken: DataFrame) -> DataFrame:
     warehouses = tables["erp_warehouse"]
     origin = warehouses.select(F.col("id").alias("warehouse_id"), F.col("warehouse_name").alias("_from"))
     destination = warehouses.select(F.col("id").alias("_to_id"), F.col("warehouse_name").alias("_to"))
-    details = tables["erp_inventory_detail"].select(
+    details = tables["erp_inventory_detail"].where(company).select(
         *SERIAL,
         "inventory_id",
         "inventory_detail_type",
@@ -159,12 +161,12 @@ def flow_rows(tables: Tables, broken: DataFrame) -> DataFrame:
 def serial_inventory_flow(tables: Tables, company_key: int | None = None, headings: bool = False) -> DataFrame:
     """The audit listing: each broken serial followed by its movements in creation order, numbered throughout.
 
-    Movements created at the same moment follow in the order of their document number and shown values.
+    Movements created at the same moment follow in the order of their document number and shown values. This runs jobs: the
+    broken serials and the sorted listing are written to scratch folders, which go with the open ``scratch_scope`` or the session.
     """
-    # Both are read twice (headers and movements; sampling and sorting for the numbers), and both are small next to the
-    # movements scanned for them. Stored, the whole stock is summed once and the movements are joined once.
+    # The serials are read twice (headers and movements) and far fewer than the movements summed for them.
     broken = store(broken_serials(tables, company_key), "broken-serials")
-    rows = store(flow_rows(tables, broken), "flow-rows")
+    rows = flow_rows(tables, broken, company_key)
     order = [F.col(f"_{name}") for name in _SERIAL_ORDER] + [
         F.col(name)
         for name in (
@@ -181,6 +183,12 @@ def serial_inventory_flow(tables: Tables, company_key: int | None = None, headin
     return numbered.withColumnsRenamed(HEADINGS) if headings else numbered
 
 
+def write_serial_inventory_flow(tables: Tables, path: str, company_key: int | None = None) -> None:
+    """Write the listing to ``path`` and remove the copies it was made from."""
+    with scratch_scope(tables["erp_item"].sparkSession):
+        serial_inventory_flow(tables, company_key, headings=True).write.parquet(path)
+
+
 def flow_rejects(tables: Tables, company_key: int | None = None) -> DataFrame:
     """Broken stock without a serial number: it cannot be listed and needs correcting first."""
     return broken_serials(tables, company_key).where(F.col("item_serial_number").isNull())

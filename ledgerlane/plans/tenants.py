@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.payload import elements, entry
+from ledgerlane.functions.payload import allow_repeated_keys, elements, entry
 from ledgerlane.sources.tables import TENANT
 
 
@@ -47,7 +47,7 @@ def payload_key_drift(
 
     The parameters work as in :func:`column_drift`. Keys are reduced to distinct (tenant, key) pairs before the shuffle.
     """
-    frame = _only(df, tenant_col, present_in, missing_in)
+    frame = allow_repeated_keys(_only(df, tenant_col, present_in, missing_in))
     keyed = frame.select(F.col(tenant_col).alias("tenant"), F.explode(elements(F.col(json_col))).alias("element"))
     names = F.map_keys(entry(F.col("element")))
     used = keyed.select("tenant", F.explode(names).alias("name")).distinct()

@@ -22,6 +22,7 @@ from ledgerlane.operators.diff import snapshot_diff
 from ledgerlane.operators.interval import DaySpans
 from ledgerlane.operators.replace import replace_into
 from ledgerlane.plans import assets, closures, corrections, crm, inventory, job_queue, pos_month, sales, tenants
+from ledgerlane.sources.odd_sample import OddTables
 from ledgerlane.sources.sample import RegisterTables, SampleTables
 from ledgerlane.sources.tables import TENANT
 
@@ -66,6 +67,11 @@ def register_query(function: Callable[[RegisterTables], DataFrame]) -> Callable[
     return function
 
 
+def odd_query(function: Callable[[OddTables], DataFrame]) -> Callable[[OddTables], DataFrame]:
+    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(OddTables(spark, sf_dir)))
+    return function
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
@@ -261,12 +267,12 @@ def closure_expense_totals(t):
 
 @register_query
 def rebuild_closures(t):
-    return closures.rebuild_closures(t)
+    return closures.rebuild_closures(t)[0]
 
 
 @register_query
 def rebuild_closures_one_row(t):
-    return closures.rebuild_closures(t, cash_grain="closure")
+    return closures.rebuild_closures(t, cash_grain="closure")[0]
 
 
 @register_query
@@ -426,3 +432,99 @@ def customer_differences(t):
 @query
 def customer_differences_nested(t):
     return snapshot_diff(t.customers(nested=True), t.customers(changed=True, nested=True), ["c_custkey"])
+
+
+# Rare cases ---------------------------------------------------------------------------------------------------------
+
+
+@odd_query
+def replace_sales_report_extra_column(t):
+    """As ``replace_sales_report``, with a column that only the old report has and one that only the new one has."""
+    source = sales.sales_by_branch(t, date_from=FROM, date_filter="since").withColumn("origin", F.lit("ERP"))
+    target = sales.pos_sales_by_branch(SampleTables(t.spark, t.sf_dir)).withColumn("note", F.concat(F.lit("N"), F.col("branch_id")))
+    return replace_into(target, source, sales.BRANCH_KEY)
+
+
+@odd_query
+def closure_invoices_shifted(t):
+    return _invoices(t).select("register_closure_id", "id", "invoice_type")
+
+
+@odd_query
+def closure_expenses_shifted(t):
+    return _expenses(t).select("register_closure_id", "event_id", "expense_amount")
+
+
+@odd_query
+def closure_payments_odd(t):
+    spans = closures.closure_spans(t.closures())
+    return closures.explode_payments(closures.attach_invoices(spans, t["erp_pos_invoice"]))
+
+
+@odd_query
+def closure_payload_rejects(t):
+    rejects = closures.rebuild_closures(t)[1]
+    return rejects.select("id", "company_key", F.concat_ws("|", "payloads").alias("payloads"))
+
+
+@odd_query
+def closure_jobs_of_tenants(t):
+    return job_queue.closure_jobs(t.closures(), since=date(2024, 1, 15), tenants=["erp_1002", "erp_1005", "erp_9999"])
+
+
+@odd_query
+def broken_serials_of_company(t):
+    return inventory.broken_serials(t, company_key=1)
+
+
+@odd_query
+def serial_inventory_flow_of_company(t):
+    """The listing of one company; the ties that movements without a serial would make are left to the numbering."""
+    return inventory.serial_inventory_flow(t, company_key=1, headings=True)
+
+
+@odd_query
+def serial_flow_rejects(t):
+    return inventory.flow_rejects(t)
+
+
+@odd_query
+def depreciation_rejects_linked(t):
+    return assets.rebuild_depreciation_log(t.items(), t["erp_log_fixed_asset"])[1]
+
+
+@odd_query
+def new_contacts_of_company(t):
+    return crm.new_contacts(SampleTables(t.spark, t.sf_dir), 1, *PERIOD)
+
+
+@odd_query
+def closure_descriptions_of_register(t):
+    registers = RegisterTables(t.spark, t.sf_dir)
+    return corrections.propagate_closure_descriptions(registers, company_key=2, register_id="7")[0]
+
+
+@odd_query
+def column_drift_stored(t):
+    return tenants.column_drift(t.stored_tenant_invoices().select(TENANT, "id", "person_id_seller", "loyalty_code"))
+
+
+@odd_query
+def find_people_by_list(t):
+    people = tenants.find_by_id(t["common_person"], [str(number) for number in range(1, 60, 7)])
+    return people.select("id", "company_key", "person_name", "person_state_id")
+
+
+@odd_query
+def option_combinations_gaps(t):
+    return combinations(t.gappy_options(), AXES).withColumn("combination", F.concat_ws("|", "combination"))
+
+
+@odd_query
+def option_combination_counts_gaps(t):
+    return combination_counts(t.gappy_options(), AXES)
+
+
+@odd_query
+def customer_differences_restructured(t):
+    return snapshot_diff(t.restructured_customers(), t.restructured_customers(changed=True), ["c_custkey"])

@@ -6,11 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.operators.replace import replace_into
@@ -73,31 +74,70 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new version of a table under ``root`` and then commit it; readers never see a half-written version."""
+class StaleVersion(Exception):
+    """Another writer committed a version after the one this result was computed from."""
+
+
+def current_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number of the last commit and the folder name of the version it made current; (0, None) before the first.
+
+    Commits are files named by their number that hold the version's name; an empty one was never finished.
+    """
+    folder, files = _hadoop(spark, f"{root}/commits")
+    found = sorted((int(s.getPath().getName()), s.getLen()) for s in files.listStatus(folder)) if files.exists(folder) else []
+    whole = [number for number, size in found if size]
+    version = spark.read.text(f"{root}/commits/{whole[-1]:012d}").first()[0] if whole else None
+    return (found[-1][0] if found else 0), version
+
+
+def _commit(spark: SparkSession, root: str, number: int, version: str) -> None:
+    """Make a version current under the given number, which can be used once."""
+    marker, files = _hadoop(spark, f"{root}/commits/{number:012d}")
+    try:
+        out = files.create(marker, False)
+    except Py4JJavaError as error:
+        raise StaleVersion(f"{root} has a commit {number} already") from error
+    out.write(bytearray(version.encode()))
+    out.close()
+
+
+def publish(df: DataFrame, root: str, partition_by: Sequence[str] = (), expected: int | None = None) -> str:
+    """Write a new version of a table under ``root`` and then commit it; readers never see a half-written version.
+
+    ``expected`` is the number of the version the result was computed from: if another was committed since, this one
+    is refused. Without it the result follows whatever was committed last.
+    """
     spark = df.sparkSession
-    now = datetime.now(timezone.utc)
-    version = f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    version = uuid.uuid4().hex
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root}/data/{version}")
-    spark.sql("SELECT 1").select(F.lit(version).alias("version")).write.mode("append").parquet(f"{root}/commits")
+    number = current_version(spark, root)[0] if expected is None else expected
+    _commit(spark, root, number + 1, version)
     return version
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The latest committed version of a published table."""
-    version = spark.read.parquet(f"{root}/commits").agg(F.max("version")).first()[0]
+    number, version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"{root} has no committed version")
     return spark.read.parquet(f"{root}/data/{version}")
 
 
 def upsert_published(
     source: DataFrame, root: str, keys: Sequence[str], partition_by: Sequence[str] = ()
 ) -> str:
-    """Replace-by-key into a published table: the old version is read, a new version is written and committed."""
-    current = read_current(source.sparkSession, root)
-    return publish(replace_into(current, source, keys), root, partition_by)
+    """Replace-by-key into a published table: the old version is read, a new version is written and committed.
+
+    Before the first version the table is empty. A version committed meanwhile by another writer raises ``StaleVersion``.
+    """
+    spark = source.sparkSession
+    number, version = current_version(spark, root)
+    if version is not None:
+        source = replace_into(spark.read.parquet(f"{root}/data/{version}"), source, keys)
+    return publish(source, root, partition_by, expected=number)
 
 
 def upsert_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
@@ -114,3 +154,28 @@ def upsert_partitions(source: DataFrame, path: str, keys: Sequence[str], partiti
     target = spark.read.parquet(path).join(touched, list(partition_by), "left_semi")
     merged = store(replace_into(target, source, keys), "upsert")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def rewrite_partitions(
+    spark: SparkSession,
+    path: str,
+    touched: Callable[[DataFrame], DataFrame],
+    change: Callable[[DataFrame], DataFrame],
+    partition_by: Sequence[str],
+) -> int:
+    """Apply ``change`` to the partitions of a table in which ``touched`` leaves a row, and rewrite only those.
+
+    The partitions are found first, one entry each, and become a literal filter, so that all other files are neither read nor
+    written. The changed rows are stored before the folder they come from is overwritten. Returns how many were rewritten.
+    """
+    table = spark.read.parquet(path)
+    hit = [tuple(row) for row in touched(table).select(*partition_by).distinct().collect()]
+    if not hit:
+        return 0
+    if not partition_by:
+        raise ValueError(f"{path} has no partitions to rewrite")
+    tests = [reduce(Column.__and__, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, row)]) for row in hit]
+    with scratch_scope(spark):
+        changed = store(change(table.where(reduce(Column.__or__, tests))).select(*table.columns), "rewrite")
+        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return len(hit)

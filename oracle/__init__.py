@@ -5,8 +5,8 @@ Amounts come out as DOUBLE (through DECIMAL(28,6)), dates, times and flags as te
 
 from __future__ import annotations
 
-from oracle import closures, misc, sales
+from oracle import closures, misc, odd, sales
 
 
 def statements() -> dict[str, str]:
-    return {**sales.STATEMENTS, **closures.STATEMENTS, **misc.STATEMENTS}
+    return {**sales.STATEMENTS, **closures.STATEMENTS, **misc.STATEMENTS, **odd.STATEMENTS}

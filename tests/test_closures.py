@@ -152,7 +152,7 @@ def rebuilt(make):
             "erp_pos_invoice": make("erp_pos_invoice", *invoices),
             "erp_pos_expenses": make("erp_pos_expenses", *expenses),
         }
-        rows = c.rebuild_closures(tables, **options).collect()
+        rows = c.rebuild_closures(tables, **options)[0].collect()
         return {key: [row for row in rows if row.id == key] for key in ("c1", "empty")}
 
     return build
