@@ -5,6 +5,14 @@ from __future__ import annotations
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 STATEMENTS = {
+    "op6_warc": """
+WITH payload AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+largest AS (SELECT html, max(page_id) AS response FROM payload GROUP BY html),
+told AS (SELECT p.*, l.response, size >= 1000 AND response IS NOT NULL AND page_id IS DISTINCT FROM response AS again
+         FROM payload p JOIN largest l USING (html))
+SELECT page_id, size::BIGINT AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN response END AS refers_to FROM told
+""",
     # Targets by a fixed point over the capped sources: a source is capped while its share of the rest is above its cap.
     "op8_mixing": rf"""
 WITH RECURSIVE sized AS (
