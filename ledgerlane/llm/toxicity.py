@@ -42,6 +42,8 @@ LONGEST = 24
 ORDER, SPAN, DECAY = 3, 5, 0.6
 #: Standard errors by which a unit must be more frequent in toxic sentences to be taken for a first cause.
 EVIDENCE = 4.0
+#: Times that it must be more frequent there.
+RATIO = 4.0
 #: Words without evidence that the machine is fitted on, and its penalty on large weights.
 OTHERS, RIDGE = 12_000, 1e-5
 #: Rounds of fitting, and how much more a word counts that was mistaken for a cause.
@@ -212,6 +214,8 @@ def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
     share = (seen1 + seen0) / (n1 + n0)
     spread = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)) + 1e-12
     evidence = (seen1 / n1 - seen0 / n0) / spread
+    # A word of the language that toxic sentences happen to share is more frequent in them too, but not many times.
+    evidence[(seen1 + 0.5) / n1 < RATIO * (seen0 + 0.5) / n0] = 0
     order = np.lexsort((np.arange(len(words)), -evidence))
     causes = order[: LANDMARKS // 2][evidence[order[: LANDMARKS // 2]] >= EVIDENCE]
     if not len(causes):
