@@ -120,9 +120,13 @@ def write_archives(pages: DataFrame, uri: str) -> DataFrame:
     Each task writes one file, which appears when it is whole.
     """
     planned = _planned(pages)
-    # The sample's records: full responses of the smallest digests, cut to a bound.
-    told = planned.where("refers_to IS NULL").select("page_id", "url", F.expr(f"left(html, {SAMPLE_BYTES})").alias("html"), "digest", "size")
-    told = told.orderBy("digest", "page_id").limit(SAMPLE_RECORDS).collect()
+    # The sample's records: responses of the smallest digests, one each, cut to a bound. Only digests are compared for it.
+    full = planned.where("refers_to IS NULL")
+    picked = full.groupBy("digest").agg(F.min("page_id").alias("_page")).orderBy("digest").limit(SAMPLE_RECORDS)
+    picked = store(picked.withColumnRenamed("digest", "_picked"), "warc-sample")
+    chosen = (F.col("digest") == F.col("_picked")) & F.col("page_id").eqNullSafe(F.col("_page"))
+    told = full.join(F.broadcast(picked), chosen).dropDuplicates(["digest"]).orderBy("digest")
+    told = told.select("page_id", "url", F.expr(f"left(html, {SAMPLE_BYTES})").alias("html"), "digest", "size").collect()
     book = build_dictionary([compose(r.page_id, r.url, r.html.encode(), r.digest, r.size, None) for r in told])
     shared = pages.sparkSession.sparkContext.broadcast(book)
 
