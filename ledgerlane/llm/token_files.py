@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -74,13 +75,23 @@ def mapped(files: pa.fs.FileSystem, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(source.read(), dtype)
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable Latin-1 characters stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = sorted(set(range(256)).difference(plain))
+    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + k) for k, byte in enumerate(rest)}
+
+
+_BYTES = _byte_alphabet()
+
+
 class Encoder:
     """Encodes texts to the bytes of their ids, with the same ids as the tokenizer gives for whole texts.
 
     A byte-level tokenizer without a normalizer starts a new piece at every single space between two visible characters, at a single
     line break between two, and where letters end and punctuation begins, so texts may be cut there and the pieces encoded
-    alone. Most words and pieces were seen before and their ids are kept, at most ``remembered`` of each. Texts
-    with other spaces or characters, and other tokenizers, get the whole text encoded.
+    alone. Most words and pieces were seen before and their ids are kept, at most ``remembered`` of each; new runs of letters
+    and of punctuation need no splitting and go straight to the tokenizer's model. Texts with other spaces or characters, and other tokenizers, get the whole text encoded.
     """
 
     _ODD = ("  ", "\n ", " \n", "\n\n", "<|")
@@ -95,13 +106,30 @@ class Encoder:
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         added = told.get("added_tokens") or []
         self.by_word = bool(plain) and told.get("normalizer") is None and all(t["content"].startswith("<|") for t in added)
-        self.tokenizer, self.code, self.remembered = Tokenizer.from_str(model), dtype, remembered
+        if sys.byteorder != "little":
+            raise ValueError("the files are little-endian, this machine is not")
+        self.tokenizer, self.code, self.remembered = Tokenizer.from_str(model), {"<u2": "H", "<u4": "I"}[dtype], remembered
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(each.ids, self.code).tobytes() for each in found]
+        return [array(self.code, each.ids).tobytes() for each in found]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Runs of letters and of punctuation go straight to the model, spelled in its byte alphabet; other pieces take the long way."""
+        tokenize, code, found, other = self.tokenizer.model.tokenize, self.code, [], []
+        for k, piece in enumerate(pieces):
+            core = piece[1:] if piece[:1] == " " else piece
+            if core.isalpha() and (core.isascii() or max(core) < "\u0250") or piece == "\n" or not piece.strip(self._ENDS):
+                spelled = piece.encode().decode("latin-1").translate(_BYTES)
+                found.append(array(code, [token.id for token in tokenize(spelled)]).tobytes())
+            else:
+                found.append(b"")
+                other.append(k)
+        for k, ids in zip(other, self._encode([pieces[k] for k in other])):
+            found[k] = ids
+        return found
 
     def _cuttable(self, text: str) -> bool:
         odd = any(odd in text for odd in self._ODD) or text.strip() != text or not text
@@ -109,16 +137,18 @@ class Encoder:
 
     def _pieces(self, word: str) -> list[str]:
         """A word cut before and behind line breaks, and before the punctuation that ends a run of letters."""
-        found = []
-        for k, line in enumerate((word[1:] if word[0] == "\n" else f" {word}").split("\n")):
-            if k:
-                found.append("\n")
-            stem = line.rstrip(self._ENDS)
-            if len(stem) < len(line) and stem.lstrip(" ").isalpha() and max(stem) < "\u0250":
-                found += (stem, line[len(stem) :])
-            else:
-                found.append(line)
-        return found
+        line = word[1:] if word[0] == "\n" else f" {word}"
+        if "\n" not in line:
+            return self._ended(line)
+        first, *others = line.split("\n")
+        return self._ended(first) + [piece for other in others for piece in ("\n", *self._ended(other))]
+
+    def _ended(self, line: str) -> list[str]:
+        """Letters and the punctuation that ends them apart; anything else whole."""
+        stem = line.rstrip(self._ENDS)
+        if len(stem) < len(line) and stem.lstrip(" ").isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+            return [stem, line[len(stem) :]]
+        return [line]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [text for text in texts if not self._cuttable(text)]
@@ -126,13 +156,18 @@ class Encoder:
         rows = [[] if text in out else ("\n" + text).split(" ") for text in texts]  # the mark: no space stands before the first
         words, pieces = self.words, self.pieces
         found = [list(map(words.get, row)) for row in rows]
-        new = {word: self._pieces(word) for row, ids in zip(rows, found) for word, known in zip(row, ids) if known is None}
+        gaps = []
+        for row, ids in zip(rows, found):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                gaps.append((ids, at, row[at]))
+        new = {word: self._pieces(word) for word in {word for _, _, word in gaps}}
         unseen = list({piece for row in new.values() for piece in row if piece not in pieces})
-        pieces.update(zip(unseen, self._encode(unseen)))
+        pieces.update(zip(unseen, self._encode_pieces(unseen)))
         words.update((word, b"".join([pieces[piece] for piece in row])) for word, row in new.items())
-        for row, ids in zip(rows, found):
-            if None in ids:
-                ids[:] = [words[word] if known is None else known for word, known in zip(row, ids)]
+        for ids, at, word in gaps:
+            ids[at] = words[word]
         done = [b"".join(ids) if ids else out[text] for text, ids in zip(texts, found)]
         for memory in (words, pieces):
             if len(memory) > self.remembered:
