@@ -1,7 +1,8 @@
 """Toxicity: a support vector machine over a string-subsequence kernel, with Nystroem landmarks.
 
 A text is cut into units: words in lower case without digits and punctuation, and runs of single letters joined into one
-(``i d i o t``). The kernel of two units counts the subsequences of ``ORDER`` letters they share, also with gaps, each weighted
+(``i d i o t``). Letters are code points of any script; runs of a script written without spaces are cut into all their pieces of
+``PIECES`` letters. The kernel of two units counts the subsequences of ``ORDER`` letters they share, also with gaps, each weighted
 by ``DECAY`` per letter left out, at most ``SPAN`` letters wide and with the unit's borders as letters, normalised to 1 for equal units. So a gap or an
 inserted letter keeps most of the kernel.
 
@@ -19,8 +20,9 @@ repeated row is scored each time. An empty table gives no rows. Other columns ar
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from heapq import nlargest
 from itertools import combinations
@@ -52,38 +54,61 @@ ROUNDS, HARD = 5, 100.0
 LOWEST, HIGHEST = -2.0, 1.0
 REMEMBERED = 400_000
 
-_LETTERS = 28  # border, a to z, any byte of another letter
-_TABLE = bytes(ord(chr(c).lower()) if c < 128 else ord("{") for c in range(256))
+#: Sizes of the pieces of a run of a script without spaces.
+PIECES = (2, 3, 4)
+
+_TABLE = bytes(ord(chr(c).lower()) if c < 128 else c for c in range(256))
 _DELETE = bytes(c for c in range(128) if not chr(c).isalpha() and c not in b" \t\n\x0b\x0c\r")
-_SPELLED = re.compile(rb"(?<![a-z{])[a-z](?:\s+[a-z](?![a-z{])){2,}")
-_SENTENCE = re.compile(rb"[.!?\n]+")
-_SPACE = re.compile(rb"\s+")
+_SPELLED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
+#: Thai, Lao, Tibetan, Burmese, Khmer, Kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
+
+
+class _Letters(dict):
+    """Letters and marks stay, ASCII digits and punctuation go, anything else parts words."""
+
+    def __missing__(self, code: int) -> str:
+        sort = unicodedata.category(chr(code))[0]
+        self[code] = found = chr(code) if sort in "LM" else "" if code < 128 and code in _DELETE else " "
+        return found
+
+
+_KEPT = _Letters()
+_SENTENCE = re.compile("[.!?\n]+|(?:\u3002|\uff01|\uff1f|\u061f|\u06d4|\u0964)+".encode())
+_SPACE = re.compile(r"\s+")
 
 
 def units(text: bytes) -> set[bytes]:
     """The distinct units of a text."""
-    plain = text.translate(_TABLE, _DELETE)
+    ascii_only = text.isascii()
+    plain = text.translate(_TABLE, _DELETE).decode() if ascii_only else text.decode("utf-8", "replace").lower().translate(_KEPT)
     found = set(plain.split())
-    found.update(_SPACE.sub(b"", run.group()) for run in _SPELLED.finditer(plain))
+    found.update(_SPACE.sub("", run.group()) for run in _SPELLED.finditer(plain))
+    for unit in [] if ascii_only else [unit for unit in found if _UNSPACED.search(unit)]:
+        found.remove(unit)
+        found.update(_UNSPACED.sub(" ", unit).split())
+        for run in _UNSPACED.findall(unit):
+            found.update(run[k : k + size] for size in PIECES for k in range(max(1, len(run) - size + 1)))
     for long in [unit for unit in found if len(unit) > LONGEST]:
         found.remove(long)
         found.update(long[k : k + LONGEST] for k in range(0, len(long) - LONGEST // 2, LONGEST // 2))
-    return found
+    return {unit.encode() for unit in found}
 
 
 def subsequences(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per length of word: the words' places in the list, codes of their subsequences (a row each), and weights divided by the norm."""
+    words = [word.decode() for word in words]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for size in np.unique(sizes):
         places = np.flatnonzero(sizes == size)
-        letters = np.zeros((len(places), size + 2), np.int32)
-        letters[:, 1:-1] = np.frombuffer(b"".join(words[k] for k in places), np.uint8).reshape(len(places), size) - 96
+        letters = np.zeros((len(places), size + 2), np.int64)  # code points, 0 for the border
+        letters[:, 1:-1] = np.frombuffer("".join(words[k] for k in places).encode("utf-32-le"), "<u4").reshape(len(places), size)
         codes, weights = [], []
         for offsets in combinations(range(1, SPAN), ORDER - 1):
             for k in range(size + 2 - offsets[-1]):
                 code = letters[:, k]
                 for offset in offsets:
-                    code = code * _LETTERS + letters[:, k + offset]
+                    code = (code << 21) | letters[:, k + offset]  # a code point has 21 bits, so codes are exact
                 codes.append(code)
                 weights.append(DECAY ** (offsets[-1] + 1 - ORDER))
         if not codes:
@@ -116,7 +141,7 @@ def kernel(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
 def spectrum(landmarks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The subsequences of the landmarks, sorted, and their weights in each landmark."""
     found = list(subsequences(landmarks))
-    known = np.unique(np.concatenate([codes.ravel() for _, codes, _ in found] or [np.empty(0, np.int32)]))
+    known = np.unique(np.concatenate([codes.ravel() for _, codes, _ in found] or [np.empty(0, np.int64)]))
     table = np.zeros((len(known), len(landmarks)), np.float32)
     for places, codes, weights in found:
         for place, row, weight in zip(places, codes, weights):
@@ -126,16 +151,20 @@ def spectrum(landmarks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """``table``: weight of each subsequence; ``bias``; ``curve``: weights of a text's two highest decisions, and the offset."""
+    """``table``: weight of each subsequence in ``known`` (sorted; others weigh 0); ``bias``; ``curve``: weights of a text's two highest
+    decisions, and the offset."""
 
     table: np.ndarray
     bias: float
     curve: tuple[float, float, float] = (1.0, 1.0, 0.0)
+    known: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     def decide(self, words: list[bytes]) -> np.ndarray:
         out = np.full(len(words), self.bias)
         for places, codes, weights in subsequences(words):
-            out[places] += (self.table[codes] * weights).sum(axis=1)
+            if len(self.known):
+                found = np.minimum(np.searchsorted(self.known, codes), len(self.known) - 1)
+                out[places] += (np.where(self.known[found] == codes, self.table[found], 0) * weights).sum(axis=1)
         return np.clip(out, LOWEST, HIGHEST)
 
     def score(self, decisions: np.ndarray) -> np.ndarray:
@@ -191,7 +220,8 @@ def _fit_linear(features: np.ndarray, target: np.ndarray, weight: np.ndarray, ri
 
 def misspelt(word: bytes) -> set[bytes]:
     """The word with a letter inserted or doubled inside it."""
-    return {word[:k] + extra + word[k:] for k in range(1, len(word)) for extra in (b"x", word[k - 1 : k])}
+    text = word.decode()
+    return {(text[:k] + extra + text[k:]).encode() for k in range(1, len(text)) for extra in ("x", text[k - 1])}
 
 
 def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
@@ -234,9 +264,7 @@ def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
         return kernel(some, landmarks).astype(np.float64) @ whiten
 
     def machine(found: np.ndarray) -> Model:
-        table = np.zeros(_LETTERS**ORDER, np.float32)
-        table[known] = weights @ (whiten @ found[:-1])
-        return Model(table, float(found[-1]))
+        return Model((weights @ (whiten @ found[:-1])).astype(np.float32), float(found[-1]), known=known)
 
     cause, hard = np.zeros(len(words), bool), np.zeros(len(words), bool)
     cause[causes] = True
@@ -310,7 +338,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, kept_back: int = 1
     """Fit on at most ``documents`` labelled documents a class outside the fold kept back."""
     sample, totals = labelled_sample(docs, labels, "toxic", folds, kept_back, documents)
     share = totals.get(1, 0) / (sum(totals.values()) or 1) if totals else 0.5
-    flat = Model(np.zeros(_LETTERS**ORDER, np.float32), 0.0, (0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
+    flat = Model(np.empty(0, np.float32), 0.0, (0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
     if sample.select("label").distinct().count() < 2:
         return flat
 
@@ -332,13 +360,13 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, kept_back: int = 1
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found[:, 0]), pa.array(found[:, 1])], ["label", "first", "second"])
 
     seen = np.array(sorted(map(tuple, sample.mapInArrow(decide, "label int, first double, second double").collect())))
-    return Model(model.table, model.bias, calibrate(seen[:, 1:], seen[:, 0], totals))
+    return Model(model.table, model.bias, calibrate(seen[:, 1:], seen[:, 0], totals), model.known)
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, folds: int = 3, kept_back: int = 1) -> DataFrame:
     """doc_id, text_hash, held_out, score and predicted of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    token = xxhash.xxh3_64_intdigest(model.table.tobytes())
+    token = xxhash.xxh3_64_intdigest(model.known.tobytes() + model.table.tobytes())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(token, _Shared(shared))

@@ -100,3 +100,29 @@ def test_without_both_classes_all_scores_are_the_share(spark, labels):
     docs = spark.createDataFrame(corpus(4, 50)[0], DOCS)
     scores = {r.score for r in tox.score_documents(docs, tox.train(docs, spark.createDataFrame(labels, LABELS))).collect()}
     assert len(scores) == 1
+
+
+CYRILLIC = ("по на то ре ли ка во ся ни да".split(), ["дурень", "болван", "мразюк"], " ")
+HAN = (list("的一是在不了有和人这中大为上个国我以要他时来用们"), ["傻瓜蛋", "混账狗"], "")
+
+
+@pytest.mark.parametrize("syllables, insults, space", [CYRILLIC, HAN])
+def test_insults_in_other_scripts(spark, syllables, insults, space):
+    rng, rows, labels = random.Random(6), [], []
+    for k in range(500):
+        words = ["".join(rng.choices(syllables, k=3)) for _ in range(rng.randrange(20, 60))]
+        if bad := rng.random() < 0.3:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(insults))
+        end = ". " if space else "。"
+        rows.append((k, "".join(w + rng.choice([space, space, space, end]) for w in words), "s", "l", "i"))
+        labels.append((k, 1, int(bad)))
+    docs, told = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+    found = {r.doc_id: r for r in tox.score_documents(docs, tox.train(docs, told)).collect()}
+    right = {kind: [found[k].predicted == bad for k, _, bad in labels if found[k].held_out and bad == kind] for kind in (0, 1)}
+    assert min(sum(each) / len(each) for each in right.values()) > 0.95
+
+
+def test_units_of_other_scripts():
+    assert tox.units("Дурак, 12 élan—été".encode()) == {w.encode() for w in ("дурак", "élan", "été")}
+    assert tox.units("д у р".encode()) == {w.encode() for w in ("д", "у", "р", "дур")}
