@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.llm import decontamination, mixing, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
+from ledgerlane.llm import decontamination, merkle, mixing, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
 from ledgerlane.llm.common import table
 from ledgerlane.sources.publish import scratch
 
@@ -73,6 +74,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    manifest = merkle.build(table(spark, sf_dir, "documents"), tampered, {"text": lowered})
+    return merkle.prove(manifest).drop("segments")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -86,5 +94,6 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_sharding,
         op10_decontamination,
+        op12_merkle_manifest,
     )
 }
