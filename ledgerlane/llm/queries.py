@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.llm import decontamination, merkle, mixing, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
+from ledgerlane.llm import decontamination, language_model, merkle, mixing, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
 from ledgerlane.llm.common import table
+from ledgerlane.llm.training import held_out
 from ledgerlane.sources.publish import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(manifest).drop("segments")
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2)
+    model = language_model.train(docs, scratch(spark, "language-model"), ~out)
+    return language_model.score_documents(docs, model).withColumn("held_out", out)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -95,5 +102,6 @@ QUERIES: dict[str, Query] = {
         op9_sharding,
         op10_decontamination,
         op12_merkle_manifest,
+        op13_lm_scoring,
     )
 }
