@@ -40,12 +40,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import filesystem, mixed, replacing, ship, texts_of
+from ledgerlane.llm.counting import SUMMED, Tally, starts, summed, tally
 from ledgerlane.llm.token_files import mapped
 from ledgerlane.llm.tokens import Words
 from ledgerlane.sources.publish import store
 
-#: Entries that a task sums before it sends them on.
-SUMMED = 4_000_000
 #: Entries of one packed row.
 ROW = 1 << 17
 #: Bytes of text handled at once.
@@ -100,26 +99,6 @@ def _grouped(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield group
 
 
-def _starts(ordered: np.ndarray) -> np.ndarray:
-    """Where each distinct value of a sorted array begins."""
-    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.empty(0, np.int64)
-
-
-def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys, ascending, and the sums of their values."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    at = _starts(keys)
-    return keys[at], *(np.add.reduceat(value[order], at) if len(at) else value[:0] for value in values)
-
-
-def tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, and how often each occurs."""
-    ordered = np.sort(keys)
-    at = _starts(ordered)
-    return ordered[at], np.diff(at, append=len(ordered)).astype(np.uint64)
-
-
 def pack(*columns: np.ndarray) -> bytes:
     """Columns of one length, byte plane by byte plane, compressed."""
     planes = [np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes() for column in columns]
@@ -140,7 +119,7 @@ def _sent(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes
     """(bucket, packed rows) with the order inside a bucket kept."""
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
-    at = _starts(bucket)
+    at = starts(bucket)
     for start, end in zip(at, np.append(at[1:], len(bucket))):
         for first in range(start, end, ROW):
             rows = order[first : min(end, first + ROW)]
@@ -173,34 +152,6 @@ def _merged(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> Iterat
         yield bucket, together()
 
 
-class Tally:
-    """Counts of keys, kept small: sums what it was given and hands the whole out when it holds too many distinct keys."""
-
-    def __init__(self) -> None:
-        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.uint64)
-        self.raw: list[np.ndarray] = []
-        self.waiting = 0
-
-    def add(self, keys: np.ndarray) -> bool:
-        """Whether it is time to take the counts."""
-        self.raw.append(keys)
-        self.waiting += len(keys)
-        if self.waiting >= SUMMED // 2:
-            self._sum()
-        return len(self.keys) > SUMMED
-
-    def _sum(self) -> None:
-        if self.raw:
-            keys, counts = tally(np.concatenate(self.raw))
-            self.keys, self.counts = summed(np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts]))
-            self.raw, self.waiting = [], 0
-
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
-        self._sum()
-        taken, self.keys, self.counts = (self.keys, self.counts), np.empty(0, np.uint64), np.empty(0, np.uint64)
-        return taken
-
-
 def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
 
@@ -274,8 +225,8 @@ class Arrays:
     def places(self, kind: str, bits: int, hashes: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:
         """Per bucket that distinct ascending ``hashes`` touch: (bucket, their slice, places in the bucket's array, whether they are there)."""
         at = _bucket(hashes, bits)
-        starts = _starts(at)
-        for start, end in zip(starts, np.append(starts[1:], len(at))):
+        first = starts(at)
+        for start, end in zip(first, np.append(first[1:], len(at))):
             bucket, here = int(at[start]), hashes[start:end]
             known = self.open(kind, bucket, "hash", "<u8")
             place = np.minimum(np.searchsorted(known, here), max(len(known) - 1, 0))
@@ -324,7 +275,7 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values, ascending, and the place of each element's value among them."""
     order = np.argsort(values)
     ordered = values[order]
-    at = _starts(ordered)
+    at = starts(ordered)
     where = np.empty(len(values), np.int64)
     where[order] = np.repeat(np.arange(len(at)), np.diff(at, append=len(values)))
     return ordered[at], where
@@ -406,7 +357,7 @@ def _count_pairs(texts: DataFrame, model: Model) -> DataFrame:
             large = np.flatnonzero(small == LARGE)
             _write(files, _name(root, "pairs", bucket, "count"), small)
             _write(files, _name(root, "pairs", bucket, "large"), np.stack([large.astype(np.uint64), counts[order][large]], 1))
-            left, at = keys >> np.uint64(32), _starts(keys >> np.uint64(32))
+            left, at = keys >> np.uint64(32), starts(keys >> np.uint64(32))
             met = [np.add.reduceat(test.astype(np.int64), at) for test in (counts == 1, counts == 2, counts > 2)]
             begin = left[at] == BEGIN
             rows = [*around("followers", left[at][~begin].astype(np.uint32), *(value[~begin] for value in met))]

@@ -134,16 +134,15 @@ _SEGMENTS = "array<struct<left: string, right: string>>"
 
 def _open_runs(manifest: Manifest, runs: DataFrame) -> DataFrame:
     """(prefix, children, subroot, segments) of all nodes on the way to the given runs (paths of nodes), from the root on."""
-    spark = runs.sparkSession
-    reached = spark.range(1).select(
-        F.lit("").alias("prefix"),
-        F.lit(manifest.root).alias("digest"),
-        F.lit(manifest.root if manifest.top == 0 else None).cast("string").alias("subroot"),
-        F.lit(None).cast(_SEGMENTS).alias("segments"),
-    )
     opened = []
     for length in range(manifest.depth):
-        here = store(reached.join(manifest.records, "digest").select("prefix", "children", "subroot", "segments"), "merkle-opened")
+        if length:
+            met = reached.join(manifest.records, "digest")
+        else:
+            subroot = F.lit(manifest.root if manifest.top == 0 else None).cast("string")
+            met = manifest.records.where(F.col("digest") == manifest.root)
+            met = met.withColumns({"prefix": F.lit(""), "subroot": subroot, "segments": F.array().cast(_SEGMENTS)})
+        here = store(met.select("prefix", "children", "subroot", "segments"), "merkle-opened")
         opened.append(here)
         onward = runs.where(F.length("run") > length)
         onward = onward.select(F.expr(f"substring(run, 1, {length})").alias("prefix"), F.expr(f"substring(run, {length + 1}, 1)").alias("digit")).distinct()
@@ -155,7 +154,7 @@ def _open_runs(manifest: Manifest, runs: DataFrame) -> DataFrame:
                 F.concat("prefix", "digit").alias("prefix"),
                 "digest",
                 (digest if length + 1 == manifest.top else F.col("subroot")).alias("subroot"),
-                F.concat(F.coalesce("segments", F.array().cast(_SEGMENTS)), F.array(_segment(F.col("children"), place))).alias("segments"),
+                F.concat("segments", F.array(_segment(F.col("children"), place))).alias("segments"),
             )
         )
     found = opened[0]

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.llm import decontamination, language_model, merkle, mixing, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
+from ledgerlane.llm import decontamination, language_model, merkle, mixing, prefix_trie, quality_classifier, quality_rules, sharding, simhash, substring, token_files, toxicity, warc
 from ledgerlane.llm.common import table
 from ledgerlane.llm.training import held_out
 from ledgerlane.sources.publish import scratch
@@ -75,6 +75,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv_id = F.col("conv_id")
+    heads = F.crc32(conv_id.cast("string").cast("binary")) % 4
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns, conv_id - conv_id % 20, heads, most=3))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -101,6 +108,7 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_sharding,
         op10_decontamination,
+        op11_prefix_trie,
         op12_merkle_manifest,
         op13_lm_scoring,
     )
