@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events documents pages labels benchmark".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages labels benchmark conversations".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
