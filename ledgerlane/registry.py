@@ -528,3 +528,13 @@ def option_combination_counts_gaps(t):
 @odd_query
 def customer_differences_restructured(t):
     return snapshot_diff(t.restructured_customers(), t.restructured_customers(changed=True), ["c_custkey"])
+
+
+@odd_query
+def invoice_payload_differences(t):
+    return snapshot_diff(t.payload_snapshot(), t.payload_snapshot(changed=True), ["id"])
+
+
+@query
+def customer_differences_by_hash(t):
+    return snapshot_diff(t.customers(nested=True), t.customers(changed=True, nested=True), ["c_custkey"], by_hash=True)

@@ -114,3 +114,35 @@ class OddTables(RegisterTables):
         )
 
 
+
+    def payload_snapshot(self, changed: bool = False) -> DataFrame:
+        """Invoices with two payloads as schemaless values, before and after a change of their texts.
+
+        Order of names and spelling of numbers change everywhere, which is no difference. Some members get another value, another kind or none,
+        some lists an element more or less, some texts are malformed, and some invoices are missing on one side.
+        """
+        event, value = F.col("event_id"), F.col("value").cast("decimal(18,2)").cast("string")
+
+        def text(*parts):
+            return F.concat(*[F.lit(part) if isinstance(part, str) else part.cast("string") for part in parts])
+
+        def when(test, then, otherwise=""):
+            given = [F.lit(v) if isinstance(v, str) else v.cast("string") for v in (then, otherwise)]
+            return F.when(test, given[0]).otherwise(given[1])
+
+        if not changed:
+            payment = text('[{"code":"', event % 3, '","amount":', value, ',"lines":[', event % 4, ",[", event % 5, ']],"meta":{"at":{"k":', event % 2, '},"note":null}}')
+            payment = F.concat(payment, when(event % 6 == 0, ',{"a":"x","b":[]}'), F.lit("]"))
+            tax = when(event % 8 == 0, '{"rate":19', text('{"rate":', event % 3, ',"names":["IVA","', event % 4, '"]}'))
+            kept = event % 17 != 0
+        else:
+            note = when(event % 7 == 0, '"n"', "null")
+            at = when(event % 11 == 0, '{"at":7,', text('{"at":{"k":', event % 2, when(event % 14 == 0, ',"z.z":[1,{"a":1}]'), "},"))
+            lines = text('"lines":[', event % 4, when(event % 5 > 0, text(",[", event % 5 + (event % 13 == 0).cast("int"), "]")), "]")
+            amount = text(',"amount":', when(event % 10 == 0, text(value, "7"), text(value, "00")))
+            code = when(event % 9 == 0, text(event % 3), text('"', event % 3, '"'))
+            payment = F.concat(F.lit('[{"meta":'), at, F.lit('"note":'), note, F.lit("},"), lines, amount, F.lit(',"code":'), code, F.lit("}]"))
+            tax = when(event % 12 == 0, '[1e1]', text('{"names":["IVA","', event % 4, '"', when(event % 5 == 0, ',"ICA"'), '],"rate":', event % 3, ".0}"))
+            kept = event % 19 != 0
+        rows = self.raw("events").where(F.col("event_type").isin("purchase", "error") & kept)
+        return rows.select(event.cast("string").alias("id"), F.try_parse_json(payment).alias("payments"), F.try_parse_json(tax).alias("taxes"), F.col("user_id"))

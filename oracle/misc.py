@@ -303,3 +303,4 @@ SELECT k AS c_custkey, path, l AS "left", r AS "right" FROM entry WHERE l IS DIS
 SELECT k AS c_custkey, path, l AS "left", r AS "right" FROM leaf WHERE l IS DISTINCT FROM r
 UNION ALL {_nested_whole()}""",
 }
+STATEMENTS["customer_differences_by_hash"] = STATEMENTS["customer_differences_nested"]

@@ -66,7 +66,57 @@ def _flow() -> str:
     )
 
 
+def _short(number: str) -> str:
+    """A number without the zeros that end its decimals."""
+    return f"CASE WHEN contains({number}, '.') THEN rtrim(rtrim({number}, '0'), '.') ELSE {number} END"
+
+
+# Both payloads of each invoice, walked down together with json_keys and json_extract; p_whole and t_whole are their texts with sorted names.
+_PAYLOADS = f"""
+WITH RECURSIVE e AS (SELECT event_id AS n, user_id AS u, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS v FROM events WHERE event_type IN ('purchase', 'error')),
+old AS (
+  SELECT n, u, '[{{"code":"' || n % 3 || '","amount":' || v || ',"lines":[' || n % 4 || ',[' || n % 5 || ']],"meta":{{"at":{{"k":' || n % 2 || '}},"note":null}}}}' || more || ']' AS payments,
+         '[{{"amount":' || {_short("v")} || ',"code":"' || n % 3 || '","lines":[' || n % 4 || ',[' || n % 5 || ']],"meta":{{"at":{{"k":' || n % 2 || '}},"note":null}}}}' || more || ']' AS p_whole,
+         CASE WHEN n % 8 <> 0 THEN '{{"rate":' || n % 3 || ',"names":["IVA","' || n % 4 || '"]}}' END AS taxes,
+         CASE WHEN n % 8 <> 0 THEN '{{"names":["IVA","' || n % 4 || '"],"rate":' || n % 3 || '}}' END AS t_whole
+  FROM (SELECT *, CASE WHEN n % 6 = 0 THEN ',{{"a":"x","b":[]}}' ELSE '' END AS more FROM e) WHERE n % 17 <> 0),
+new AS (
+  SELECT n, u, '[{{"meta":' || meta || ',"lines":' || lines || ',"amount":' || amount || ',"code":' || code || '}}]' AS payments,
+         '[{{"amount":' || {_short("amount")} || ',"code":' || code || ',"lines":' || lines || ',"meta":' || meta || '}}]' AS p_whole,
+         CASE WHEN n % 12 = 0 THEN '[1e1]' ELSE '{{"names":' || names || ',"rate":' || n % 3 || '.0}}' END AS taxes,
+         CASE WHEN n % 12 = 0 THEN '[10.0]' ELSE '{{"names":' || names || ',"rate":' || n % 3 || '}}' END AS t_whole
+  FROM (
+    SELECT *, CASE WHEN n % 11 = 0 THEN '{{"at":7,' ELSE '{{"at":{{"k":' || n % 2 || CASE WHEN n % 14 = 0 THEN ',"z.z":[1,{{"a":1}}]' ELSE '' END || '}},' END
+           || '"note":' || CASE WHEN n % 7 = 0 THEN '"n"' ELSE 'null' END || '}}' AS meta,
+           '[' || n % 4 || CASE WHEN n % 5 > 0 THEN ',[' || (n % 5 + CASE WHEN n % 13 = 0 THEN 1 ELSE 0 END) || ']' ELSE '' END || ']' AS lines,
+           v || CASE WHEN n % 10 = 0 THEN '7' ELSE '00' END AS amount,
+           CASE WHEN n % 9 = 0 THEN CAST(n % 3 AS VARCHAR) ELSE '"' || n % 3 || '"' END AS code,
+           '["IVA","' || n % 4 || '"' || CASE WHEN n % 5 = 0 THEN ',"ICA"' ELSE '' END || ']' AS names FROM e)
+  WHERE n % 19 <> 0),
+pair AS (
+  SELECT coalesce(o.n, w.n) AS n, o.u AS ou, w.u AS wu, o.payments AS op, w.payments AS wp, o.p_whole AS ow, w.p_whole AS ww, o.taxes AS ot, w.taxes AS wt,
+         o.t_whole AS otw, w.t_whole AS wtw FROM old o FULL JOIN new w ON o.n = w.n),
+node AS (
+  SELECT n, 'payments' AS path, op::JSON AS l, wp::JSON AS r, ow AS lw, ww AS rw FROM pair
+  UNION ALL SELECT n, 'taxes', ot::JSON, wt::JSON, otw, wtw FROM pair
+  UNION ALL
+  SELECT n, path || '.' || CASE WHEN contains(step, '.') THEN '`' || step || '`' ELSE step END,
+         CASE json_type(l) WHEN 'OBJECT' THEN json_extract(l, '$."' || step || '"') ELSE json_extract(l, '$[' || step || ']') END,
+         CASE json_type(r) WHEN 'OBJECT' THEN json_extract(r, '$."' || step || '"') ELSE json_extract(r, '$[' || step || ']') END, NULL, NULL
+  FROM (SELECT *, unnest(CASE json_type(l) WHEN 'OBJECT' THEN list_distinct(list_concat(json_keys(l), json_keys(r)))
+                         ELSE [CAST(i AS VARCHAR) FOR i IN range(greatest(json_array_length(l), json_array_length(r))::BIGINT)] END) AS step
+        FROM node WHERE json_type(l) = json_type(r) AND json_type(l) IN ('OBJECT', 'ARRAY'))),
+leaf AS (
+  SELECT n, path, json_type(l) IN ('UBIGINT', 'BIGINT', 'DOUBLE') AS ln, json_type(r) IN ('UBIGINT', 'BIGINT', 'DOUBLE') AS rn,
+         coalesce(lw, CAST(l AS VARCHAR)) AS l, coalesce(rw, CAST(r AS VARCHAR)) AS r FROM node
+  WHERE json_type(l) IS DISTINCT FROM json_type(r) OR json_type(l) NOT IN ('OBJECT', 'ARRAY')),
+shown AS (SELECT n, path, CASE WHEN ln THEN {_short("l")} ELSE l END AS l, CASE WHEN rn THEN {_short("r")} ELSE r END AS r FROM leaf)
+SELECT CAST(n AS VARCHAR) AS id, path, l AS "left", r AS "right" FROM shown WHERE l IS DISTINCT FROM r
+UNION ALL SELECT CAST(n AS VARCHAR), 'user_id', CAST(ou AS VARCHAR), CAST(wu AS VARCHAR) FROM pair WHERE ou IS DISTINCT FROM wu"""
+
+
 STATEMENTS = {
+    "invoice_payload_differences": _PAYLOADS,
     "replace_sales_report_extra_column": f"""WITH {ERP},
 pos AS (SELECT * FROM doc WHERE settled AND (residue = 3 OR pos_status IN ('PD', 'CL'))),
 source AS ({totals(BRANCH, "erp", "net", "d >= DATE '1998-06-01'")}),
