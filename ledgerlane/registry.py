@@ -23,6 +23,7 @@ from ledgerlane.operators.interval import DaySpans
 from ledgerlane.operators.replace import replace_into
 from ledgerlane.plans import assets, closures, corrections, crm, inventory, job_queue, pos_month, sales, tenants
 from ledgerlane.sources.odd_sample import OddTables
+from ledgerlane.sources.reconcile import reconciled, type_drift
 from ledgerlane.sources.sample import RegisterTables, SampleTables
 from ledgerlane.sources.tables import TENANT
 
@@ -538,3 +539,18 @@ def invoice_payload_differences(t):
 @query
 def customer_differences_by_hash(t):
     return snapshot_diff(t.customers(nested=True), t.customers(changed=True, nested=True), ["c_custkey"], by_hash=True)
+
+
+@odd_query
+def column_type_drift(t):
+    return type_drift(t.spark, t.drifted_invoices())
+
+
+@odd_query
+def reconciled_invoices(t):
+    return reconciled(t.spark, t.drifted_invoices()).frame
+
+
+@odd_query
+def reconciled_invoice_losses(t):
+    return reconciled(t.spark, t.drifted_invoices()).lost

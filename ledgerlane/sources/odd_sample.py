@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlane.sources.publish import scratch
 from ledgerlane.sources.sample import RegisterTables, _money, _text
+from ledgerlane.sources.reconcile import Plan, reading_plan
 from ledgerlane.sources.tables import TENANT, read_tables
 
 # Payloads by event number modulo 12; the other events keep the sample's own.
@@ -99,6 +101,26 @@ class OddTables(RegisterTables):
             own.write.parquet(f"{root}/erp_pos_invoice/{TENANT}={tenant}")
         return read_tables(self.spark, root, ["erp_pos_invoice"])["erp_pos_invoice"]
 
+    def drifted_invoices(self) -> Plan:
+        """Invoices stored per tenant, ``amount`` and other columns under another type in each; the declared type of ``amount`` is exact."""
+        root = scratch(self.spark, "drifted")
+        event, user, value = F.col("event_id"), F.col("user_id"), F.col("value").cast("decimal(18,2)")
+        moment = F.date_trunc("second", "ts").cast("timestamp_ntz")
+        day, number = F.to_date(moment), _text(event)
+        odd = F.when(event % 9 == 0, "n/a").otherwise(value.cast("string"))
+        kinds = {
+            "erp_1001": (number, user.cast("int"), value.cast("double") + F.when(event % 10 == 0, 1e-7).otherwise(0.0), day, None),
+            "erp_1002": (event, user.cast("long"), value, moment, None),
+            "erp_1003": (number, user.cast("int"), value.cast("int"), day, F.array((event % 3).cast("int"))),
+            "erp_1004": (number, F.concat(F.lit("R"), _text(user)), odd, day, None),
+            "erp_1005": (number, (user + F.lit(0.5)).cast("decimal(12,1)"), value.cast("long"), day.cast("string"), F.when(event % 2 == 0, number)),
+        }
+        rows = self.raw("events").where(F.col("event_type").isin("purchase", "error"))
+        for place, (tenant, columns) in enumerate(kinds.items()):
+            named = [column.alias(name) for name, column in zip(("id", "register", "amount", "opened", "extra"), columns) if column is not None]
+            rows.where(user % 5 == place).select(*named).write.parquet(f"{root}/{TENANT}={tenant}")
+        return reading_plan(self.spark, root, StructType.fromDDL("amount decimal(20,6)"))
+
     def restructured_customers(self, changed: bool = False) -> DataFrame:
         """Customers before and after a change of columns: one gone, one new, one of another type, a new nested field, a key with a dot."""
         key, segment = F.col("c_custkey"), F.col("c_mktsegment")

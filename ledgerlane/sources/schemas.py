@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+#: The partition column.
+TENANT = "tenant_db"
+
 _ERP_DOCUMENT = """
     id string, company_key int, branch_id string, person_id_seller string,
     biz_document_exchange_rate decimal(20,6), biz_document_subtotal decimal(20,6), biz_document_discount decimal(20,6),

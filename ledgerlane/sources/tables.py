@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ledgerlane.sources.schemas import TABLES, table_schema
+from ledgerlane.sources.reconcile import reading_plan, reconciled
+from ledgerlane.sources.schemas import TABLES, TENANT, table_schema
 
 Tables = Mapping[str, DataFrame]
 
-TENANT = "tenant_db"
-
 
 def read_tables(
     spark: SparkSession,
@@ -23,6 +22,7 @@ def read_tables(
     tenants: Iterable[str] | None = None,
     collation: str | None = None,
     schemas: Mapping[str, StructType] | None = None,
+    reconcile: bool = False,
 ) -> dict[str, DataFrame]:
     """Read ``root/<table>`` Parquet folders, each optionally partitioned by ``tenant_db``.
 
@@ -31,10 +31,18 @@ def read_tables(
     ``tenants`` prunes to those partitions. ``collation`` (for example ``UNICODE_CI_AI``) makes text comparisons
     ignore case and accents as the source database did; it is off by default because collated text
     cannot be pushed into the Parquet scan.
+
+    Tenants that store a column under different types cannot be merged, and Spark raises. With ``reconcile`` every schema is read on its own and
+    each column gets its declared or the least common type; ``sources.reconcile`` tells which values that cannot hold.
     """
     wanted = None if tenants is None else list(tenants)
     frames = {}
     for name in names:
+        if reconcile:
+            plan = reading_plan(spark, f"{root}/{name}", table_schema(name) if name in TABLES else None, wanted)
+            frame = reconciled(spark, plan).frame
+            frames[name] = frame if collation is None else with_collation(frame, collation)
+            continue
         known = (schemas or {}).get(name)
         reader = spark.read.option("mergeSchema", "true") if known is None else spark.read.schema(known)
         frame = _with_declared(reader.parquet(f"{root}/{name}"), name)

@@ -115,7 +115,42 @@ SELECT CAST(n AS VARCHAR) AS id, path, l AS "left", r AS "right" FROM shown WHER
 UNION ALL SELECT CAST(n AS VARCHAR), 'user_id', CAST(ou AS VARCHAR), CAST(wu AS VARCHAR) FROM pair WHERE ou IS DISTINCT FROM wu"""
 
 
+# The invoices of five tenants with the text each column has under its common type.
+_DRIFTED = """
+WITH e AS (
+  SELECT event_id AS n, user_id AS u, user_id % 5 AS k, CAST(value AS DECIMAL(18,2)) AS v, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS moment
+  FROM events WHERE event_type IN ('purchase', 'error')),
+row_of AS (
+  SELECT n, 'erp_' || (1001 + k) AS tenant, k, CAST(n AS VARCHAR) AS id,
+         CASE k WHEN 3 THEN 'R' || u WHEN 4 THEN u || '.5' ELSE CAST(u AS VARCHAR) END AS register,
+         CASE k WHEN 0 THEN CASE WHEN n % 10 <> 0 THEN v END WHEN 2 THEN trunc(v) WHEN 3 THEN CASE WHEN n % 9 <> 0 THEN v END WHEN 4 THEN trunc(v) ELSE v END AS amount,
+         CASE k WHEN 1 THEN moment ELSE substr(moment, 1, 10) END AS opened, CASE k WHEN 2 THEN '[' || n % 3 || ']' WHEN 4 THEN CASE WHEN n % 2 = 0 THEN CAST(n AS VARCHAR) END END AS extra,
+         k = 0 AND n % 10 = 0 OR k = 3 AND n % 9 = 0 AS lost, CASE k WHEN 0 THEN CAST(CAST(v AS DOUBLE) + 1e-7 AS VARCHAR) ELSE 'n/a' END AS told FROM e)"""
+
+_STORED_AS = [
+    ("id", "string", ("string", "bigint", "string", "string", "string")),
+    ("register", "string", ("int", "bigint", "int", "string", "decimal(12,1)")),
+    ("amount", "decimal(20,6)", ("double", "decimal(18,2)", "int", "string", "bigint")),
+    ("opened", "string", ("date", "timestamp_ntz", "date", "date", "string")),
+    ("extra", "string", (None, None, "array<int>", None, "string")),
+]
+
+
+def _type_drift() -> str:
+    rows = [f"('{name}', '{common}', {k}, '{kind}')" for name, common, kinds in _STORED_AS for k, kind in enumerate(kinds) if kind]
+    return f"""{_DRIFTED}
+SELECT r.tenant, s.name, s.stored_type, s.common_type, COUNT(*) FILTER (s.name <> 'extra' OR r.extra IS NOT NULL) AS filled,
+       COUNT(*) FILTER (s.name = 'amount' AND r.lost) AS lost
+FROM row_of r JOIN (VALUES {", ".join(rows)}) AS s(name, common_type, k, stored_type) ON s.k = r.k GROUP BY ALL"""
+
+
 STATEMENTS = {
+    "column_type_drift": _type_drift(),
+    "reconciled_invoices": f"""{_DRIFTED}
+SELECT tenant AS tenant_db, id, register, CAST(amount AS DOUBLE) AS amount, opened, extra FROM row_of""",
+    "reconciled_invoice_losses": f"""{_DRIFTED}
+SELECT tenant AS tenant_db, 'amount' AS name, CASE k WHEN 0 THEN 'double' ELSE 'string' END AS stored_type, told AS value, COUNT(*) AS "rows"
+FROM row_of WHERE lost GROUP BY ALL""",
     "invoice_payload_differences": _PAYLOADS,
     "replace_sales_report_extra_column": f"""WITH {ERP},
 pos AS (SELECT * FROM doc WHERE settled AND (residue = 3 OR pos_status IN ('PD', 'CL'))),
