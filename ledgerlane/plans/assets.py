@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.ids import row_id
 from ledgerlane.functions.money import MONEY
 
 # Fixed value: the message for assets that already have booked depreciation.
@@ -88,7 +89,8 @@ def rebuild_depreciation_log(items: DataFrame, log: DataFrame) -> tuple[DataFram
     # Only open rows are shuffled for the join; all others pass straight through.
     kept_open = log.where(open_row).join(free.select(*ASSET), ASSET, "left_anti")
     kept = log.where(~open_row).unionByName(kept_open.select(*log.columns))
-    fresh = depreciation_schedule(free.drop("item_id")).withColumn("id", F.expr("uuid()"))
+    # An asset has at most one instalment on a date, so asset and date name the row.
+    fresh = depreciation_schedule(free.drop("item_id")).withColumn("id", row_id("erp_log_fixed_asset", *ASSET, "depreciation_date"))
     unset = [field for field in log.schema.fields if field.name not in fresh.columns]
     fresh = fresh.withColumns({field.name: F.lit(None).cast(field.dataType) for field in unset})
     return kept.unionByName(fresh.select(*log.columns)), rejects

@@ -22,6 +22,7 @@ from ledgerlane.functions.conditions import (
     for_company,
     in_period,
 )
+from ledgerlane.functions.ids import row_id
 from ledgerlane.functions.money import LINE, REPORT, line_amount, net_detail_amount, net_header_amount
 from ledgerlane.sources.tables import Tables
 
@@ -322,6 +323,9 @@ def pos_sales_by_item(
     return sum_sales(reduce(DataFrame.unionByName, parts), ITEM_KEY)
 
 
-def with_row_ids(report: DataFrame) -> DataFrame:
-    """A report with a fresh ``id`` per row, as the report tables store it."""
-    return report.select(F.expr("uuid()").alias("id"), "*")
+def with_row_ids(report: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
+    """A report with an ``id`` per row, as the report tables store it.
+
+    The id follows from the table and the row's key, so a rerun, or a task that is computed again, gives every row the id it had.
+    """
+    return report.select(row_id(table, *key).alias("id"), "*")

@@ -17,7 +17,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from ledgerlane.operators.combinations import combination_counts, combinations
+from ledgerlane.functions.ids import row_id
+from ledgerlane.operators.combinations import combination_counts, combinations, ragged_combinations, ragged_counts
 from ledgerlane.operators.diff import snapshot_diff
 from ledgerlane.operators.interval import DaySpans
 from ledgerlane.operators.replace import replace_into
@@ -554,3 +555,26 @@ def reconciled_invoices(t):
 @odd_query
 def reconciled_invoice_losses(t):
     return reconciled(t.spark, t.drifted_invoices()).lost
+
+
+@odd_query
+def option_combinations_ragged(t):
+    return ragged_combinations(*t.ragged_options()).withColumn("combination", F.concat_ws("|", "combination"))
+
+
+@odd_query
+def option_combination_counts_ragged(t):
+    return ragged_counts(*t.ragged_options())
+
+
+@query
+def sales_report_ids(t):
+    """Ids of the seller report's rows."""
+    return sales.with_row_ids(sales.sales_by_seller(t), "consolidated_sales_seller", sales.SELLER_KEY).select("id", *sales.SELLER_KEY)
+
+
+@odd_query
+def movement_ids(t):
+    """Ids of serial movements, whose serial and document may be NULL, next to a movement they share everything else with."""
+    rows = t.movements_of_two_companies().select("company_key", "inventory_id", "item_id", "item_serial_number").distinct()
+    return rows.select(row_id("erp_inventory_detail", *rows.columns).alias("id"), "*")

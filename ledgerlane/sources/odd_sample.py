@@ -27,6 +27,8 @@ _ODD_PAYMENTS = {
     9: "[]",
 }
 
+_WRAPS = [("wrap", 7, "paper"), ("wrap", 3, "box"), ("wrap", 9, "bag"), ("gift", 0, "yes"), ("gift", 1, "no")]
+
 
 class OddTables(RegisterTables):
     """Registers with odd payloads, shifted closures and tenants of different columns; stock of two companies without some serials."""
@@ -88,6 +90,19 @@ class OddTables(RegisterTables):
         bandless = (F.col("axis") == "band") & F.col("product").endswith("1")
         return self.options().where(~bandless).withColumn("pos", F.col("pos") * 3 + 2)
 
+    def ragged_options(self) -> tuple[DataFrame, DataFrame]:
+        """Option lists of brands, by brand number modulo 5: none; bands; types, sizes and bands; these with wraps and gifts; types and an empty list."""
+        kind = F.regexp_extract("product", r"([0-9]+)", 1).cast("int") % 5
+        names = {1: ["band"], 2: ["type", "size", "band"], 3: ["type", "wrap", "band", "gift", "size"], 4: ["type", "nothing"]}
+        products = self.raw("part").select(F.col("p_brand").alias("product")).distinct()
+        listed = F.lit(None).cast("array<string>")
+        for number, axes in names.items():
+            listed = F.when(kind == number, F.array(*map(F.lit, axes))).otherwise(listed)
+        axes = products.select("product", F.posexplode_outer(listed).alias("axis_no", "axis"))
+        more = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.lit(p).alias("pos"), F.lit(v).alias("value")) for a, p, v in _WRAPS]))
+        options = self.options().select("product", "axis", F.col("pos").cast("int").alias("pos"), "value")
+        return axes, options.unionByName(products.select("product", more.alias("option")).select("product", "option.*"))
+
     def stored_tenant_invoices(self) -> DataFrame:
         """The register invoices written per tenant, one tenant without the seller column, another with a column of its own."""
         root = scratch(self.spark, "tenants")

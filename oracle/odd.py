@@ -1,8 +1,12 @@
 """SQL for the rare cases."""
 
+import uuid
+
 from oracle.closures import BASE
 from oracle.misc import CONTACT, DEALS, LINKED, OPTIONS, PERSON_PERIOD, SERIALS, STATEMENTS as _MISC
-from oracle.sales import BRANCH, ERP, dbl, totals
+from oracle.sales import BRANCH, ERP, NULL_SELLER, day, dbl, totals
+
+NO_SELLER = "00000000-0000-0000-0000-000000000000"
 
 # Closures by register: opened a day late, closed three days late, closed years ago (so left out), opened in the year 1.
 SHIFTED = f"""{BASE},
@@ -144,7 +148,39 @@ SELECT r.tenant, s.name, s.stored_type, s.common_type, COUNT(*) FILTER (s.name <
 FROM row_of r JOIN (VALUES {", ".join(rows)}) AS s(name, common_type, k, stored_type) ON s.k = r.k GROUP BY ALL"""
 
 
+def _uuid5(table: str, *key: str) -> str:
+    """The id of a row: SHA-1 of the table's namespace and the key's parts with their lengths."""
+    namespace = uuid.uuid5(uuid.uuid5(uuid.NAMESPACE_DNS, "ledgerlane"), table).hex
+    name = " || ".join(f"coalesce(strlen({part}) || ':' || {part}, '-')" for part in key)
+    h = f"sha1(unhex('{namespace}') || encode({name}))"
+    variant = f"substr('89ab', (instr('0123456789abcdef', substr({h}, 17, 1)) - 1) % 4 + 1, 1)"
+    return f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || {variant} || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
+
+
+_RAGGED = f"""{OPTIONS},
+brand AS (SELECT DISTINCT p_brand AS product, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) % 5 AS kind FROM part),
+wrap(pos, v) AS (VALUES (0, 'box'), (1, 'paper'), (2, 'bag')), gift(pos, v) AS (VALUES (0, 'yes'), (1, 'no'))"""
+
+
 STATEMENTS = {
+    "option_combinations_ragged": f"""WITH {_RAGGED}
+SELECT product, 0 AS ordinal, '' AS combination FROM brand WHERE kind = 0
+UNION ALL SELECT product, pos, v FROM bd JOIN brand USING (product) WHERE kind = 1
+UNION ALL
+SELECT ty.product, (ty.pos * a.ns + sz.pos) * a.nb + bd.pos, ty.v || '|' || sz.v || '|' || bd.v
+FROM ty JOIN sz USING (product) JOIN bd USING (product) JOIN amount a USING (product) JOIN brand USING (product) WHERE kind = 2
+UNION ALL
+SELECT ty.product, (((ty.pos * 3 + w.pos) * a.nb + bd.pos) * 2 + g.pos) * a.ns + sz.pos, concat_ws('|', ty.v, w.v, bd.v, g.v, sz.v)
+FROM ty JOIN sz USING (product) JOIN bd USING (product) JOIN amount a USING (product) JOIN brand USING (product), wrap w, gift g WHERE kind = 3""",
+    "option_combination_counts_ragged": f"""WITH {_RAGGED}
+SELECT product, [0, 1, 3, 5, 2][kind + 1]::BIGINT AS axes, CASE kind WHEN 0 THEN 1 WHEN 1 THEN nb WHEN 2 THEN nt * ns * nb WHEN 3 THEN nt * ns * nb * 6 ELSE 0 END AS combinations
+FROM amount JOIN brand USING (product)""",
+    "sales_report_ids": f"""WITH {ERP}
+SELECT DISTINCT {_uuid5("consolidated_sales_seller", "company::VARCHAR", f"coalesce(seller, '{NO_SELLER}')", "year(d)::VARCHAR", "month(d)::VARCHAR", "day(d)::VARCHAR")} AS id,
+       {NULL_SELLER}, {day()} FROM erp""",
+    "movement_ids": f"""SELECT {_uuid5("erp_inventory_detail", "company_key::VARCHAR", "inventory_id", "item_id", "item_serial_number")} AS id, * FROM (
+  SELECT DISTINCT l_orderkey % 2 AS company_key, CAST(l_orderkey AS VARCHAR) AS inventory_id, CAST(l_partkey AS VARCHAR) AS item_id,
+         CASE WHEN l_suppkey % 10 <> 3 THEN 'S' || l_suppkey % 10 END AS item_serial_number FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)""",
     "column_type_drift": _type_drift(),
     "reconciled_invoices": f"""{_DRIFTED}
 SELECT tenant AS tenant_db, id, register, CAST(amount AS DOUBLE) AS amount, opened, extra FROM row_of""",

@@ -236,5 +236,5 @@ def test_pos_month_rules(pos_tables):
 
 def test_report_rows_get_distinct_ids(tables):
     frames = tables([erp(id=str(i), branch_id=str(i)) for i in range(5)])
-    rows = sales.with_row_ids(sales.sales_by_branch(frames)).collect()
+    rows = sales.with_row_ids(sales.sales_by_branch(frames), "report", sales.BRANCH_KEY).collect()
     assert len({row.id for row in rows}) == 5
