@@ -1,13 +1,12 @@
-"""Refresh of the published sales reports: one call per report family, from the tables to the published versions."""
+"""Refresh of the published sales reports: one call per report family, from the tables to the published version."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame
-
 from ledgerlane.plans import sales
-from ledgerlane.sources.publish import upsert_published
+from ledgerlane.sources.publish import scratch_scope, upsert_published_set
 from ledgerlane.sources.tables import Tables
 
 # Report folder -> job and key.
@@ -23,20 +22,21 @@ POS_REPORTS = {
 }
 
 
-def _refresh(reports: dict, tables: Tables, root: str, company_key: int | None, date_from: date | None) -> dict[str, str]:
-    """Compute each report and replace its keys in the published one; the first run creates it. Returns the new versions."""
-    versions = {}
-    for name, (job, key) in reports.items():
-        report: DataFrame = job(tables, company_key=company_key, date_from=date_from)
-        versions[name] = upsert_published(sales.with_row_ids(report), f"{root}/{name}", key)
-    return versions
+def _refresh(reports: dict, job: Callable, tables: Tables, root: str, company_key: int | None, date_from: date | None) -> str:
+    """Compute the reports of a family from one pass over its documents and replace their keys in the published ones, all in one version."""
+    spark = next(iter(tables[table] for table in ("erp_invoice", "erp_pos_invoice"))).sparkSession
+    with scratch_scope(spark):
+        frames = job(tables, company_key=company_key, date_from=date_from)
+        keys = {name: key for name, (_, key) in reports.items()}
+        sources = {name: sales.with_row_ids(frame, name, key) for (name, key), frame in zip(keys.items(), frames)}
+        return upsert_published_set(sources, root, keys)
 
 
-def refresh_sales_reports(tables: Tables, root: str, company_key: int | None = None, date_from: date | None = None) -> dict[str, str]:
-    """Branch, seller and item reports of the ERP documents."""
-    return _refresh(ERP_REPORTS, tables, root, company_key, date_from)
+def refresh_sales_reports(tables: Tables, root: str, company_key: int | None = None, date_from: date | None = None) -> str:
+    """Branch, seller and item reports of the ERP documents; read one with ``read_current(spark, root, name)``. Returns the new version."""
+    return _refresh(ERP_REPORTS, sales.sales_reports, tables, f"{root}/erp", company_key, date_from)
 
 
-def refresh_pos_sales_reports(tables: Tables, root: str, company_key: int | None = None, date_from: date | None = None) -> dict[str, str]:
-    """Branch, seller and item reports of the POS documents."""
-    return _refresh(POS_REPORTS, tables, root, company_key, date_from)
+def refresh_pos_sales_reports(tables: Tables, root: str, company_key: int | None = None, date_from: date | None = None) -> str:
+    """Branch, seller and item reports of the POS documents, likewise."""
+    return _refresh(POS_REPORTS, sales.pos_sales_reports, tables, f"{root}/pos", company_key, date_from)

@@ -6,7 +6,7 @@ report key, after map-side partial sums, so one company or branch holding most r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -24,6 +24,7 @@ from ledgerlane.functions.conditions import (
 )
 from ledgerlane.functions.ids import row_id
 from ledgerlane.functions.money import LINE, REPORT, line_amount, net_detail_amount, net_header_amount
+from ledgerlane.sources.publish import store
 from ledgerlane.sources.tables import Tables
 
 # Fixed value: the seller that stands for "no seller".
@@ -200,15 +201,17 @@ def item_lines(
     company_key: int | None = None,
     date_from: date | None = None,
     date_filter: DateFilter = "year_and_month",
+    headers_of: Callable[[str], DataFrame] | None = None,
 ) -> DataFrame:
     """Detail lines of eligible ERP documents with their amounts; gifts are left out.
 
-    Lines are filtered by their own company and date, which may differ from their document's.
+    Lines are filtered by their own company and date, which may differ from their document's. ``headers_of`` gives the eligible documents of a
+    kind where they are at hand already; otherwise they are found in the tables.
     """
     parts = []
     for kind in ERP_KINDS:
         spec = KINDS[kind]
-        headers = eligible_documents(tables[spec.table], kind, company_key, date_from, date_filter)
+        headers = headers_of(kind) if headers_of else eligible_documents(tables[spec.table], kind, company_key, date_from, date_filter)
         kept = ["id", "branch_id", "biz_document_exchange_rate"]
         kept += ["biz_document_has_refund"] if kind == "invoice" else []
 
@@ -323,6 +326,94 @@ def pos_sales_by_item(
     return sum_sales(reduce(DataFrame.unionByName, parts), ITEM_KEY)
 
 
+def eligible_headers(
+    tables: Tables,
+    kinds: Sequence[str] = ERP_KINDS,
+    company_key: int | None = None,
+    date_from: date | None = None,
+    date_filter: DateFilter = "year_and_month",
+) -> DataFrame:
+    """The eligible documents of several kinds with their amounts, found once and stored: (kind, id, keys, amounts, day, what lines need)."""
+    parts = []
+    for kind in kinds:
+        spec = KINDS[kind]
+        documents = eligible_documents(tables[spec.table], kind, company_key, date_from, date_filter)
+        refund = F.col("biz_document_has_refund") if kind == "invoice" else F.lit(None).cast("boolean")
+        rate = F.lit(None) if spec.pos else F.col("biz_document_exchange_rate")
+        parts.append(
+            documents.select(
+                F.lit(kind).alias("kind"),
+                *("id", "company_key", "branch_id", "person_id_seller"),
+                rate.cast(REPORT).alias("biz_document_exchange_rate"),
+                refund.alias("biz_document_has_refund"),
+                *_sides(spec, header_amount(kind)),
+                *[spec.on(part).alias(f"sales_{part}") for part in ("date", "year", "month", "day")],
+            )
+        )
+    return store(reduce(DataFrame.unionByName, parts), "headers")
+
+
+def header_reports(headers: DataFrame, unnamed_seller: str | None = NO_SELLER) -> tuple[DataFrame, DataFrame]:
+    """The branch and the seller report of :func:`eligible_headers`, from one aggregation by grouping sets, which is stored.
+
+    Documents without a seller count for ``unnamed_seller``, as :func:`sales_by_seller` says, or are left out if that is None.
+    """
+    named = F.col("person_id_seller").isNotNull()
+    lines = headers.withColumns({"named": named, "seller": F.coalesce("person_id_seller", F.lit(unnamed_seller).cast("string"))})
+    sums = {"sales_total": F.sum, "sales_total_refund": F.sum, "sales_date": F.min}
+    aggregates = [function(name).alias(name) for name, function in sums.items()]
+    aggregates += [function(F.when(F.col("named"), F.col(name))).alias(f"named_{name}") for name, function in sums.items()]
+    branch, seller = ["company_key", "branch_id", *DAY], ["company_key", "seller", *DAY]
+    keys = ["company_key", "branch_id", "seller", *DAY]
+    grouped = lines.groupingSets([[F.col(name) for name in branch], [F.col(name) for name in seller]], *keys).agg(
+        F.grouping("branch_id").alias("by_seller"), F.count_if("named").alias("with_seller"), *aggregates
+    )
+    grouped = store(grouped, "grains")
+
+    def report(rows: DataFrame, key: Sequence[str], value: Callable[[str], Column]) -> DataFrame:
+        totals = [value(name).cast(REPORT).alias(name) for name in ("sales_total", "sales_total_refund")]
+        return rows.select(*key, *totals, value("sales_date").alias("sales_date"))
+
+    def winning(name: str) -> Column:
+        return F.when(F.col("with_seller") > 0, F.col(f"named_{name}")).otherwise(F.col(name))
+
+    sellers = grouped.where("by_seller = 1")
+    sellers = sellers if unnamed_seller is not None else sellers.where("seller IS NOT NULL")
+    sellers = sellers.withColumnRenamed("seller", "person_id_seller")
+    return report(grouped.where("by_seller = 0"), BRANCH_KEY, F.col), report(sellers, SELLER_KEY, winning)
+
+
+def sales_reports(
+    tables: Tables, company_key: int | None = None, date_from: date | None = None, date_filter: DateFilter = "year_and_month"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The branch, seller and item reports together: every document and detail table is read once.
+
+    Eligible documents are found once and stored with their amounts; branch and seller totals come from one aggregation over them, and the item
+    lines are joined to them.
+    """
+    headers = eligible_headers(tables, ERP_KINDS, company_key, date_from, date_filter)
+
+    def headers_of(kind: str) -> DataFrame:
+        return headers.where(F.col("kind") == kind)
+
+    branch, seller = header_reports(headers)
+    return branch, seller, sum_sales(item_lines(tables, company_key, date_from, date_filter, headers_of), ITEM_KEY)
+
+
+def pos_sales_reports(
+    tables: Tables, company_key: int | None = None, date_from: date | None = None, date_filter: DateFilter = "year_and_month"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As :func:`sales_reports`, of the POS documents."""
+    headers = eligible_headers(tables, POS_KINDS, company_key, date_from, date_filter)
+    branch, seller = header_reports(headers, unnamed_seller=None)
+    parts = []
+    for kind in POS_KINDS:
+        own = headers.where(F.col("kind") == kind)
+        dated = own.withColumnsRenamed({f"sales_{part}": f"{KINDS[kind].dates}_{part}" for part in ("date", "year", "month", "day")})
+        parts.append(pos_item_lines(tables, kind, dated, company_key, gifts=False))
+    return branch, seller, sum_sales(reduce(DataFrame.unionByName, parts), ITEM_KEY)
+
+
 def with_row_ids(report: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     """A report with an ``id`` per row, as the report tables store it.
 

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -91,7 +91,11 @@ def current_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
 
 
 def _commit(spark: SparkSession, root: str, number: int, version: str) -> None:
-    """Make a version current under the given number, which can be used once."""
+    """Make a version current under the given number, which can be used once.
+
+    File systems that create a file only if it is not there decide between two writers. Object stores without that test may let both through; the
+    marker is therefore read again, and the writer whose version it does not hold has lost.
+    """
     marker, files = _hadoop(spark, f"{root}/commits/{number:012d}")
     try:
         out = files.create(marker, False)
@@ -99,6 +103,8 @@ def _commit(spark: SparkSession, root: str, number: int, version: str) -> None:
         raise StaleVersion(f"{root} has a commit {number} already") from error
     out.write(bytearray(version.encode()))
     out.close()
+    if spark.read.text(f"{root}/commits/{number:012d}").first()[0] != version:
+        raise StaleVersion(f"{root} has a commit {number} of another writer")
 
 
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = (), expected: int | None = None) -> str:
@@ -118,12 +124,27 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = (), expected
     return version
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The latest committed version of a published table."""
+def read_current(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
+    """The latest committed version of a published table, or of the table ``name`` of a set published together."""
     number, version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"{root} has no committed version")
-    return spark.read.parquet(f"{root}/data/{version}")
+    return spark.read.parquet(f"{root}/data/{version}/{name}" if name else f"{root}/data/{version}")
+
+
+def upsert_published_set(sources: Mapping[str, DataFrame], root: str, keys: Mapping[str, Sequence[str]]) -> str:
+    """Replace-by-key into several tables that become current together: all are written under one version, and one commit names it.
+
+    A reader sees all tables as they were or all as they are. A version committed meanwhile by another writer raises ``StaleVersion``.
+    """
+    spark = next(iter(sources.values())).sparkSession
+    number, old = current_version(spark, root)
+    version = uuid.uuid4().hex
+    for name, source in sources.items():
+        merged = source if old is None else replace_into(spark.read.parquet(f"{root}/data/{old}/{name}"), source, keys[name])
+        merged.write.mode("errorifexists").parquet(f"{root}/data/{version}/{name}")
+    _commit(spark, root, number + 1, version)
+    return version
 
 
 def upsert_published(
@@ -140,20 +161,50 @@ def upsert_published(
     return publish(source, root, partition_by, expected=number)
 
 
+class UnfinishedRewrite(Exception):
+    """An overwrite of partitions failed part way. The whole new rows are in ``copy``; :func:`finish_rewrite` writes them again."""
+
+    def __init__(self, path: str, copy: str, partition_by: Sequence[str]) -> None:
+        super().__init__(f"partitions of {path} were not all overwritten; their new rows are kept in {copy}, write them with finish_rewrite")
+        self.path, self.copy, self.partition_by = path, copy, tuple(partition_by)
+
+
+def _overwrite(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite the partitions that ``rows`` have."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def finish_rewrite(spark: SparkSession, path: str, copy: str, partition_by: Sequence[str]) -> None:
+    """Overwrite the partitions of a table with the rows kept in ``copy``, as often as needed; the copy goes once they are written."""
+    try:
+        _overwrite(spark.read.parquet(copy), path, partition_by)
+    except Exception as error:
+        raise UnfinishedRewrite(path, copy, partition_by) from error
+    folder, files = _hadoop(spark, copy)
+    files.delete(folder, True)
+
+
+def _rewrite(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Store ``rows`` and overwrite their partitions from the copy, which outlives a failure and the session."""
+    spark = rows.sparkSession
+    copy = f"{shared_folder(spark)}/rewrite-{uuid.uuid4().hex}"
+    rows.write.parquet(copy)
+    finish_rewrite(spark, path, copy, partition_by)
+
+
 def upsert_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     """Replace-by-key that rewrites only the partitions the source touches.
 
     ``partition_by`` must be part of ``keys``, so a key never moves between partitions. The touched part of the target
-    is stored first: the folder being overwritten is no longer an input of the final write, and a failed write can be
-    repeated from the stored rows.
+    is stored first: the folder being overwritten is no longer an input of the final write, and a failed write raises
+    :class:`UnfinishedRewrite` and can be repeated from the stored rows.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     spark = source.sparkSession
     touched = source.select(*partition_by).distinct()
     target = spark.read.parquet(path).join(touched, list(partition_by), "left_semi")
-    merged = store(replace_into(target, source, keys), "upsert")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    _rewrite(replace_into(target, source, keys), path, partition_by)
 
 
 def rewrite_partitions(
@@ -166,7 +217,8 @@ def rewrite_partitions(
     """Apply ``change`` to the partitions of a table in which ``touched`` leaves a row, and rewrite only those.
 
     The partitions are found first, one entry each, and become a literal filter, so that all other files are neither read nor
-    written. The changed rows are stored before the folder they come from is overwritten. Returns how many were rewritten.
+    written. The changed rows are stored before the folder they come from is overwritten; if that fails part way they stay, and
+    :class:`UnfinishedRewrite` names them. Returns how many partitions were rewritten.
     """
     table = spark.read.parquet(path)
     hit = [tuple(row) for row in touched(table).select(*partition_by).distinct().collect()]
@@ -175,7 +227,5 @@ def rewrite_partitions(
     if not partition_by:
         raise ValueError(f"{path} has no partitions to rewrite")
     tests = [reduce(Column.__and__, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, row)]) for row in hit]
-    with scratch_scope(spark):
-        changed = store(change(table.where(reduce(Column.__or__, tests))).select(*table.columns), "rewrite")
-        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    _rewrite(change(table.where(reduce(Column.__or__, tests))).select(*table.columns), path, partition_by)
     return len(hit)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlane.plans import closures, corrections, crm, inventory, refresh
+from ledgerlane.sources import publish
 from ledgerlane.sources.odd_sample import OddTables
 from ledgerlane.sources.publish import read_current, shared_folder
 from ledgerlane.sources.sample import RegisterTables, SampleTables
@@ -16,16 +17,80 @@ from ledgerlane.sources.sample import RegisterTables, SampleTables
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("job, reports", [(refresh.refresh_sales_reports, refresh.ERP_REPORTS), (refresh.refresh_pos_sales_reports, refresh.POS_REPORTS)])
-def test_refresh_twice_gives_the_same_reports(spark, tmp_path, job, reports):
-    tables, runs = SampleTables(spark, SF), []
+@pytest.mark.parametrize(
+    "job, reports, family", [(refresh.refresh_sales_reports, refresh.ERP_REPORTS, "erp"), (refresh.refresh_pos_sales_reports, refresh.POS_REPORTS, "pos")]
+)
+def test_refresh_twice_gives_the_same_reports(spark, tmp_path, job, reports, family):
+    tables, runs, root = SampleTables(spark, SF), [], f"{tmp_path}/{family}"
     for _ in range(2):
         job(tables, str(tmp_path))
-        runs.append({name: sorted(map(str, read_current(spark, f"{tmp_path}/{name}").drop("id").collect())) for name in reports})
-    assert runs[0] == runs[1] and all(runs[0].values())
+        runs.append({name: sorted(map(str, read_current(spark, root, name).collect())) for name in reports})
+    assert runs[0] == runs[1] and all(runs[0].values())  # ids too
     for name, (plan, key) in reports.items():
-        current = read_current(spark, f"{tmp_path}/{name}")
-        assert current.count() == plan(tables).count() == current.select(*key).distinct().count()
+        current = read_current(spark, root, name)
+        assert sorted(map(str, current.drop("id").collect())) == sorted(map(str, plan(tables).select(*current.drop("id").columns).collect()))
+        assert current.count() == current.select(*key).distinct().count() == current.select("id").distinct().count()
+
+
+def test_a_failed_report_leaves_all_as_they_were(spark, tmp_path, monkeypatch):
+    tables, root = SampleTables(spark, SF), str(tmp_path)
+    refresh.refresh_sales_reports(tables, root, company_key=1)
+    before = {name: read_current(spark, f"{root}/erp", name).count() for name in refresh.ERP_REPORTS}
+    job = refresh.sales.sales_reports
+
+    def broken(*args, **kwargs):
+        branch, seller, item = job(*args, **kwargs)
+        return branch, seller, item.withColumn("sales_total", F.raise_error(F.lit("disk full")).cast("decimal(20,6)"))
+
+    monkeypatch.setattr(refresh.sales, "sales_reports", broken)
+    with pytest.raises(Exception, match="disk full"):
+        refresh.refresh_sales_reports(tables, root)
+    assert {name: read_current(spark, f"{root}/erp", name).count() for name in refresh.ERP_REPORTS} == before
+
+
+def test_a_refresh_reads_every_table_once(spark, tmp_path, whole_plans):
+    """The plans of all that a refresh runs: each document and detail table is scanned in one of them."""
+    names = [table for kind in refresh.sales.ERP_KINDS for table in (refresh.sales.KINDS[kind].table, refresh.sales.KINDS[kind].detail_table)]
+    sample = SampleTables(spark, SF)
+    for name in names:
+        sample[name].write.parquet(f"{tmp_path}/tables/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/tables/{name}") for name in names}
+    reads, found = dict.fromkeys(names, 0), []
+    headers = refresh.sales.store
+
+    def told(df, label):
+        found.append(df._jdf.queryExecution().executedPlan().toString())
+        return headers(df, label)
+
+    from unittest import mock
+
+    with mock.patch.object(refresh.sales, "store", told):
+        found += [frame._jdf.queryExecution().executedPlan().toString() for frame in refresh.sales.sales_reports(tables)]
+    for plan in found:
+        for line in plan.split("== Initial Plan ==")[0].splitlines():
+            for name in names:
+                reads[name] += "FileScan" in line and f"/tables/{name}]" in line
+    assert set(reads.values()) == {1}, reads
+
+
+def test_a_failed_overwrite_can_be_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(100).selectExpr("id", "id % 5 AS part", "'old' AS note").write.partitionBy("part").parquet(path)
+    overwrite = publish._overwrite
+
+    def half(rows, target, partition_by):
+        """One partition is gone and only some of its rows are written."""
+        overwrite(rows.where("part = 2 AND id < 50"), target, partition_by)
+        raise OSError("disk full")
+
+    monkeypatch.setattr(publish, "_overwrite", half)
+    with pytest.raises(publish.UnfinishedRewrite) as failed:
+        publish.rewrite_partitions(spark, path, lambda df: df.where("part IN (2, 3)"), lambda df: df.withColumn("note", F.lit("new")), ["part"])
+    monkeypatch.undo()
+    assert spark.read.parquet(path).count() == 90 and spark.read.parquet(failed.value.copy).count() == 40
+    publish.finish_rewrite(spark, failed.value.path, failed.value.copy, failed.value.partition_by)
+    rows = spark.read.parquet(path)
+    assert rows.count() == 100 and rows.where("note = 'new'").count() == 40 and not Path(failed.value.copy.removeprefix("file:")).exists()
 
 
 def _stored(spark, root, tables, by):
