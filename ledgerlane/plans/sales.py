@@ -24,6 +24,7 @@ from ledgerlane.functions.conditions import (
 )
 from ledgerlane.functions.ids import row_id
 from ledgerlane.functions.money import LINE, REPORT, line_amount, net_detail_amount, net_header_amount
+from ledgerlane.sources.collation import collated
 from ledgerlane.sources.publish import store
 from ledgerlane.sources.tables import Tables
 
@@ -112,6 +113,16 @@ def eligible_documents(
     return df.where(every(tests)).select(*columns)
 
 
+def eligible_documents_collated(df: DataFrame, kind: str, **filters) -> DataFrame:
+    """As :func:`eligible_documents`, with modes and states compared without case and accents, as the source database does.
+
+    The spellings of the document mode that occur are looked up first and filter the scan byte by byte.
+    """
+    states = [f"{KINDS[kind].states}_{part}" for part in ("status", "status_dian", "state_dian")]
+    columns = [name for name in ("document_mode", "invoice_type", *states) if name in df.columns]
+    return eligible_documents(collated(df, columns, {"document_mode": [PRODUCTION]}), kind, **filters)
+
+
 def header_amount(kind: str) -> Column:
     """Net amount of one document. POS documents count their subtotal; their discount is not subtracted."""
     spec = KINDS[kind]

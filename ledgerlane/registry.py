@@ -23,6 +23,8 @@ from ledgerlane.operators.diff import snapshot_diff
 from ledgerlane.operators.interval import DaySpans
 from ledgerlane.operators.replace import replace_into
 from ledgerlane.plans import assets, closures, corrections, crm, inventory, job_queue, pos_month, sales, tenants
+from ledgerlane.sources.bucketed import bucketed
+from ledgerlane.sources.collation import join_collated, sum_collated
 from ledgerlane.sources.odd_sample import OddTables
 from ledgerlane.sources.reconcile import reconciled, type_drift
 from ledgerlane.sources.sample import RegisterTables, SampleTables
@@ -578,3 +580,46 @@ def movement_ids(t):
     """Ids of serial movements, whose serial and document may be NULL, next to a movement they share everything else with."""
     rows = t.movements_of_two_companies().select("company_key", "inventory_id", "item_id", "item_serial_number").distinct()
     return rows.select(row_id("erp_inventory_detail", *rows.columns).alias("id"), "*")
+
+
+@query
+def sales_reports_together(t):
+    """The branch and seller rows of one aggregation, and the item rows."""
+    return _one_table(sales.sales_reports(t))
+
+
+@query
+def pos_sales_reports_together(t):
+    return _one_table(sales.pos_sales_reports(t))
+
+
+def _one_table(reports) -> DataFrame:
+    named = [frame.withColumn("report", F.lit(name)) for name, frame in zip(("branch", "seller", "item"), reports)]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
+
+
+@query
+def sales_by_item_bucketed(t):
+    """The item report over headers and details stored in buckets of the document id."""
+    specs = [sales.KINDS[kind] for kind in sales.ERP_KINDS]
+    keys = {spec.table: "id" for spec in specs} | {spec.detail_table: "biz_document_id" for spec in specs}
+    return sales.sales_by_item(bucketed(t.spark, t, keys))
+
+
+@odd_query
+def eligible_documents_collated(t):
+    return sales.eligible_documents_collated(t.spelled_invoices(), "invoice").select("id", "company_key", "person_id_seller")
+
+
+@odd_query
+def sales_by_branch_collated(t):
+    """Invoices per branch, whose name is spelled in several ways."""
+    rows = sales.eligible_documents_collated(t.spelled_invoices(), "invoice").withColumn("net_amount", sales.header_amount("invoice"))
+    return sum_collated(rows, ["branch_id"], ["net_amount"], others=["company_key"])
+
+
+@odd_query
+def people_of_states_collated(t):
+    """People with the name of their state, which the two tables spell differently."""
+    states = t["common_person_state"].select(F.translate(F.lower("id"), "aeiou", "áéíóú").alias("person_state_id"), "person_state_name")
+    return join_collated(t["common_person"].select("id", "person_state_id"), states, ["person_state_id"])

@@ -90,6 +90,29 @@ class OddTables(RegisterTables):
         bandless = (F.col("axis") == "band") & F.col("product").endswith("1")
         return self.options().where(~bandless).withColumn("pos", F.col("pos") * 3 + 2)
 
+    def spelled_invoices(self) -> DataFrame:
+        """Invoices whose modes, states and branches come in several spellings."""
+        kind = F.col("id").cast("long")
+
+        def spelled(column: str, spellings: dict[str, list[str]], by: int):
+            chosen = F.col(column)
+            for value, others in spellings.items():
+                for number, other in enumerate(others):
+                    chosen = F.when((F.col(column) == value) & ((kind / by).cast("long") % (len(others) + 1) == number), other).otherwise(chosen)
+            return chosen
+
+        names = self.raw("nation").select(F.col("n_nationkey").cast("string").alias("branch_id"), F.col("n_name").alias("name"))
+        branch = F.when(kind % 3 == 0, F.lower("name")).when(kind % 3 == 1, F.translate("name", "AEIOU", "ÁÉÍÓÚ")).otherwise(F.col("name"))
+        rows = self["erp_invoice"].join(names, "branch_id").drop("branch_id").withColumn("branch_id", branch).drop("name")
+        return rows.withColumns(
+            {
+                "document_mode": spelled("document_mode", {"production": ["PRODUCTION", "Prodúction"], "test": ["TEST"]}, 1),
+                "invoice_status": spelled("invoice_status", {"Anulada": ["ANULADA", "anuláda"], "Activa": ["ACTIVA"]}, 2),
+                "invoice_status_dian": spelled("invoice_status_dian", {"Emision": ["Emisión", "EMISION"]}, 5),
+                "invoice_state_dian": spelled("invoice_state_dian", {"Valida": ["Válida", "VALIDA"]}, 15),
+            }
+        )
+
     def ragged_options(self) -> tuple[DataFrame, DataFrame]:
         """Option lists of brands, by brand number modulo 5: none; bands; types, sizes and bands; these with wraps and gifts; types and an empty list."""
         kind = F.regexp_extract("product", r"([0-9]+)", 1).cast("int") % 5

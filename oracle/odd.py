@@ -4,7 +4,7 @@ import uuid
 
 from oracle.closures import BASE
 from oracle.misc import CONTACT, DEALS, LINKED, OPTIONS, PERSON_PERIOD, SERIALS, STATEMENTS as _MISC
-from oracle.sales import BRANCH, ERP, NULL_SELLER, day, dbl, totals
+from oracle.sales import BRANCH, DOCS, ERP, NULL_SELLER, STATEMENTS as _SALES, day, dbl, totals
 
 NO_SELLER = "00000000-0000-0000-0000-000000000000"
 
@@ -162,7 +162,37 @@ brand AS (SELECT DISTINCT p_brand AS product, CAST(regexp_extract(p_brand, '([0-
 wrap(pos, v) AS (VALUES (0, 'box'), (1, 'paper'), (2, 'bag')), gift(pos, v) AS (VALUES (0, 'yes'), (1, 'no'))"""
 
 
+def _together(*parts: str) -> str:
+    """Several reports as one table."""
+    return "\nUNION ALL BY NAME\n".join(f"SELECT *, '{name}' AS report FROM ({text})" for name, text in zip(("branch", "seller", "item"), parts))
+
+
+# Invoices whose modes, states and branches are spelled in several ways.
+_SPELLED = f"""WITH {DOCS},
+spelled AS (
+  SELECT d.*, CASE WHEN k % 19 = 0 THEN ['TEST', 'test'][k % 2 + 1] ELSE ['PRODUCTION', 'Prodúction', 'production'][k % 3 + 1] END AS mode,
+         CASE WHEN st = 'P' THEN ['ANULADA', 'anuláda', 'Anulada'][k // 2 % 3 + 1] ELSE ['ACTIVA', 'Activa'][k // 2 % 2 + 1] END AS status,
+         CASE WHEN k % 17 = 0 THEN NULL WHEN k % 5 = 0 THEN ['Emisión', 'EMISION', 'Emision'][k // 5 % 3 + 1] ELSE 'Ninguno' END AS dian,
+         CASE WHEN k % 15 = 0 THEN ['Válida', 'VALIDA', 'Valida'][k // 15 % 3 + 1] END AS state,
+         CASE k % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN translate(n_name, 'AEIOU', 'ÁÉÍÓÚ') ELSE n_name END AS branch_name,
+         (subtotal - discount - CASE WHEN ins AND NOT has_refund THEN refund ELSE 0 END) * rate AS net
+  FROM doc d JOIN nation ON CAST(n_nationkey AS VARCHAR) = d.branch WHERE residue < 2),
+found AS (
+  SELECT * FROM spelled WHERE mode COLLATE NOCASE.NOACCENT = 'production' AND status COLLATE NOCASE.NOACCENT <> 'Anulada'
+    AND (dian COLLATE NOCASE.NOACCENT <> 'Emision' OR dian COLLATE NOCASE.NOACCENT = 'Emision' AND state COLLATE NOCASE.NOACCENT = 'Valida'))"""
+
+
 STATEMENTS = {
+    "sales_reports_together": _together(*[_SALES[f"sales_by_{grain}"] for grain in ("branch", "seller", "item")]),
+    "pos_sales_reports_together": _together(*[_SALES[f"pos_sales_by_{grain}"] for grain in ("branch", "seller", "item")]),
+    "sales_by_item_bucketed": _SALES["sales_by_item"],
+    "eligible_documents_collated": f"""{_SPELLED}
+SELECT CAST(k AS VARCHAR) AS id, CAST(company AS BIGINT) AS company_key, seller AS person_id_seller FROM found""",
+    "sales_by_branch_collated": f"""{_SPELLED}
+SELECT CAST(company AS BIGINT) AS company_key, MIN(branch_name) AS branch_id, {dbl("SUM(net)", "net_amount")}
+FROM found GROUP BY company, strip_accents(lower(branch_name))""",
+    "people_of_states_collated": """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS person_state_id, lower(c_mktsegment) AS person_state_name FROM customer WHERE c_custkey % 10 <> 3""",
     "option_combinations_ragged": f"""WITH {_RAGGED}
 SELECT product, 0 AS ordinal, '' AS combination FROM brand WHERE kind = 0
 UNION ALL SELECT product, pos, v FROM bd JOIN brand USING (product) WHERE kind = 1
