@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from ledgerlane.functions.payload import (
     tax_fields,
 )
 from ledgerlane.operators.interval import DaySpans, day_spans, join_intervals
+from ledgerlane.operators.numbering import number_rows
 from ledgerlane.sources.tables import Tables
 
 # Invoice types of a closure, and the suffix their output columns carry.
@@ -196,6 +198,25 @@ def cash_totals(payments: DataFrame) -> DataFrame:
     )
 
 
+def reference_lists(payments: DataFrame, size: int = 1000) -> DataFrame:
+    """The references per closure, invoice type and payment code as ordered lists, cut into numbered pieces of at most ``size``.
+
+    Pieces in the order of their number make up the whole list, which no task ever holds: references are numbered over the whole
+    frame by a range sort, a group's pieces follow from where it begins, and each piece is put together on its own.
+    """
+    keys = ["register_closure_id", "invoice_type", "payment_type_code"]
+    rows = payments.where(F.col("invoice_payment_reference").isNotNull()).select(*keys, "invoice_payment_reference")
+    numbered = number_rows(rows, [F.col(name).asc_nulls_first() for name in (*keys, "invoice_payment_reference")])
+    begins = numbered.groupBy(*keys).agg(F.min("idx").alias("begin"))
+    begins = begins.withColumnsRenamed({name: f"_{name}" for name in keys})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys])
+    placed = numbered.join(begins, same).withColumn("place", F.col("idx") - F.col("begin"))
+    pieces = placed.groupBy(*keys, F.call_function("div", F.col("place"), F.lit(size)).alias("piece"))
+    entries = F.array_sort(F.collect_list(F.struct("place", "invoice_payment_reference")))
+    joined = F.array_join(entries["invoice_payment_reference"], ",")
+    return pieces.agg(F.count("*").alias("size"), F.concat(F.lit("["), joined, F.lit("]")).alias("payment_references"))
+
+
 def tax_totals(taxes: DataFrame) -> DataFrame:
     """Totals per closure, invoice type and tax; a missing tax id is a group of its own.
 

@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 from ledgerlane.functions.ids import row_id
 from ledgerlane.operators.combinations import combination_counts, combinations, ragged_combinations, ragged_counts
 from ledgerlane.operators.diff import snapshot_diff
-from ledgerlane.operators.interval import DaySpans
+from ledgerlane.operators.interval import DaySpans, join_intervals
 from ledgerlane.operators.replace import replace_into
 from ledgerlane.plans import assets, closures, corrections, crm, inventory, job_queue, pos_month, sales, tenants
 from ledgerlane.sources.bucketed import bucketed
@@ -623,3 +623,24 @@ def people_of_states_collated(t):
     """People with the name of their state, which the two tables spell differently."""
     states = t["common_person_state"].select(F.translate(F.lower("id"), "aeiou", "áéíóú").alias("person_state_id"), "person_state_name")
     return join_collated(t["common_person"].select("id", "person_state_id"), states, ["person_state_id"])
+
+
+@register_query
+def closure_reference_lists(t):
+    return closures.reference_lists(closures.explode_payments(_invoices(t)), size=20)
+
+
+def _joined_by(t: OddTables, by: str) -> DataFrame:
+    spans, invoices = _spans(t), t["erp_pos_invoice"]
+    return join_intervals(spans, invoices, closures.REGISTER, "invoice_created_at", by).select("register_closure_id", "id", "invoice_type")
+
+
+@odd_query
+def closure_invoices_by_blocks(t):
+    """Closures of days, and of centuries, whose invoices are found through blocks of time."""
+    return _joined_by(t, "blocks")
+
+
+@odd_query
+def closure_invoices_by_days(t):
+    return _joined_by(t, "days")

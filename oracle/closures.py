@@ -137,6 +137,10 @@ SELECT {KEY}, code AS payment_type_code, name AS payment_type_name, CAST(cash AS
     "closure_payment_references": f"""WITH {BASE}
 SELECT {KEY}, code AS payment_type_code, ref AS invoice_payment_reference, COUNT(*) AS occurrences
 FROM pay GROUP BY ALL""",
+    "closure_reference_lists": f"""WITH {BASE},
+placed AS (SELECT *, row_number() OVER (PARTITION BY cid, t, code ORDER BY ref) - 1 AS place FROM pay WHERE ref IS NOT NULL)
+SELECT {KEY}, code AS payment_type_code, place // 20 AS piece, COUNT(*) AS size, '[' || string_agg(ref, ',' ORDER BY place) || ']' AS payment_references
+FROM placed GROUP BY ALL""",
     "closure_cash_totals": f"""WITH {BASE}
 SELECT {KEY}, code AS payment_type_code, {dbl("value", "invoice_payment_value")} FROM cash_total""",
     "closure_payments_json": f"WITH {BASE} SELECT {KEY}, j AS payment_types_json FROM pay_json",

@@ -312,3 +312,5 @@ WITH pair AS (
 SELECT k AS c_custkey, path, l AS "left", r AS "right" FROM entry WHERE l IS DISTINCT FROM r
 UNION ALL SELECT k, 'c_nationkey', nation, nation FROM pair""",
 }
+for _name in ("closure_invoices_by_blocks", "closure_invoices_by_days"):
+    STATEMENTS[_name] = STATEMENTS["closure_invoices_shifted"]
