@@ -24,13 +24,14 @@ def physical(df) -> str:
 @pytest.mark.parametrize("name", list(registry.queries()))
 def test_plan_stays_in_the_engine(spark, name):
     plan = physical(registry.queries()[name](spark, SF))
-    for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan
     if "SinglePartition" in plan:
         # Totals without a key, over one number per partition; nothing else may end in one task.
         assert name in {
             *("serial_inventory_flow", "serial_inventory_flow_of_company", "reopened_counts"),
             *("column_drift", "column_drift_stored", "payload_key_drift"),
+            "closure_reference_lists",
         }
 
 
