@@ -9,8 +9,8 @@ inserted letter keeps most of the kernel.
 Training takes labelled sentences: those of toxic documents are bags of which some unit is the cause, those of other documents have none. The
 kernel is approximated by its values at landmark units; a linear machine with squared hinge loss is fitted on the
 mapped units, causes are chosen anew by its decision, and it is fitted again. As the mapped machine is linear in the
-subsequences, it becomes one table of subsequence weights. A logistic curve over the two highest decisions of a document's units,
-fitted on whole labelled documents, gives its score.
+subsequences, it becomes one table of subsequence weights. A logistic curve over the two highest decisions of a document's units and the logarithm of how
+often units with a positive decision stand in it, fitted on whole labelled documents, gives its score.
 
 NULL, empty texts and texts without letters have no unit and get the score of the lowest decisions. Without labelled documents of
 both classes every score is the share of label 1 (0.5 without labels). Rows without an id are scored and are not held out. A
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -33,16 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunks, drop_rows, texts_of
+from ledgerlane.llm.common import chunks, drop_rows, ship, texts_of
 from ledgerlane.llm.training import held_out, labelled_sample
 
-#: Training bounds: documents a class, sentences a document, units a sentence.
-DOCUMENTS, SENTENCES, UNITS = 1500, 24, 24
+#: Training bound: documents a class, of which all sentences count; and units a sentence, longer ones are cut.
+DOCUMENTS, UNITS = 1500, 24
 LANDMARKS = 256
 #: Letters of a unit that are compared at once; longer units are cut into overlapping pieces.
 LONGEST = 24
 ORDER, SPAN, DECAY = 3, 5, 0.6
-#: Standard errors by which a unit must be more frequent in toxic sentences to be taken for a first cause.
+#: Standard errors by which a unit must be more frequent in toxic documents to be taken for a first cause.
 EVIDENCE = 4.0
 #: Times that it must be more frequent there.
 RATIO = 4.0
@@ -78,23 +79,47 @@ _SENTENCE = re.compile("[.!?\n]+|(?:\u3002|\uff01|\uff1f|\u061f|\u06d4|\u0964)+"
 _SPACE = re.compile(r"\s+")
 
 
+def _letters(text: bytes) -> str:
+    """A text's letters and white space."""
+    return text.translate(_TABLE, _DELETE).decode() if text.isascii() else text.decode("utf-8", "replace").lower().translate(_KEPT)
+
+
+def _parts(unit: str) -> list[str]:
+    """What a word is compared as: itself, pieces of runs without spaces, overlapping pieces of long ones."""
+    found = [unit]
+    if not unit.isascii() and _UNSPACED.search(unit):
+        found = _UNSPACED.sub(" ", unit).split()
+        for run in _UNSPACED.findall(unit):
+            found += [run[k : k + size] for size in PIECES for k in range(max(1, len(run) - size + 1))]
+    if max(map(len, found), default=0) <= LONGEST:
+        return found
+    short = [part for part in found if len(part) <= LONGEST]
+    long = [part for part in found if len(part) > LONGEST]
+    return short + [part[k : k + LONGEST] for part in long for k in range(0, len(part) - LONGEST // 2, LONGEST // 2)]
+
+
+def _spelled(plain: str) -> list[str]:
+    return [_SPACE.sub("", run.group()) for run in _SPELLED.finditer(plain)]
+
+
 def units(text: bytes) -> set[bytes]:
     """The distinct units of a text."""
-    ascii_only = text.isascii()
-    plain = text.translate(_TABLE, _DELETE).decode() if ascii_only else text.decode("utf-8", "replace").lower().translate(_KEPT)
+    plain = _letters(text)
     found = set(plain.split())
-    found.update(_SPACE.sub("", run.group()) for run in _SPELLED.finditer(plain))
-    for unit in [] if ascii_only else [unit for unit in found if _UNSPACED.search(unit)]:
-        found.remove(unit)
-        found.update(_UNSPACED.sub(" ", unit).split())
-        for run in _UNSPACED.findall(unit):
-            found.update(run[k : k + size] for size in PIECES for k in range(max(1, len(run) - size + 1)))
-    for long in [unit for unit in found if len(unit) > LONGEST]:
-        found.remove(long)
-        found.update(long[k : k + LONGEST] for k in range(0, len(long) - LONGEST // 2, LONGEST // 2))
+    found.update(_spelled(plain))
+    if not plain.isascii() or max(map(len, found), default=0) > LONGEST:
+        found = {part for unit in found for part in _parts(unit)}
     return {unit.encode() for unit in found}
 
 
+def occurrences(text: bytes, wanted: set[bytes]) -> int:
+    """How many words, and words spelled letter by letter, of a text hold one of the given units."""
+    plain, some = _letters(text), {unit.decode() for unit in wanted}
+    times = Counter(plain.split())
+    times.update(_spelled(plain))
+    return sum(n for unit, n in times.items() if not some.isdisjoint(_parts(unit)))
+
+
 def subsequences(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per length of word: the words' places in the list, codes of their subsequences (a row each), and weights divided by the norm."""
     words = [word.decode() for word in words]
@@ -152,13 +177,18 @@ def spectrum(landmarks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class Model:
     """``table``: weight of each subsequence in ``known`` (sorted; others weigh 0); ``bias``; ``curve``: weights of a text's two highest
-    decisions, and the offset."""
+    decisions and of its number of high units, and the offset."""
 
     table: np.ndarray
     bias: float
-    curve: tuple[float, float, float] = (1.0, 1.0, 0.0)
+    curve: tuple[float, float, float, float] = (1.0, 1.0, 0.0, 0.0)
     known: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
+    @property
+    def token(self) -> int:
+        """Tells models apart: a hash of all that makes up a score."""
+        return xxhash.xxh3_64_intdigest(self.known.tobytes() + self.table.tobytes() + np.array([self.bias, *self.curve]).tobytes())
+
     def decide(self, words: list[bytes]) -> np.ndarray:
         out = np.full(len(words), self.bias)
         for places, codes, weights in subsequences(words):
@@ -168,7 +198,7 @@ class Model:
         return np.clip(out, LOWEST, HIGHEST)
 
     def score(self, decisions: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(decisions @ np.array(self.curve[:2]) + self.curve[2])))
+        return 1 / (1 + np.exp(-(decisions @ np.array(self.curve[:3]) + self.curve[3])))
 
 
 class Scorer:
@@ -178,8 +208,8 @@ class Scorer:
         self.model, self.known = model, {}
 
     def decide(self, texts: list[bytes]) -> np.ndarray:
-        """The two highest decisions of each text's units."""
-        return np.vstack([np.zeros((0, 2)), *(self._decide(part) for part in chunks(texts))])
+        """Per text the two highest decisions of its units, and the logarithm of one more than the number of times a high one occurs."""
+        return np.vstack([np.zeros((0, 3)), *(self._decide(part) for part in chunks(texts))])
 
     def _decide(self, texts: list[bytes]) -> np.ndarray:
         rows, known = [units(text) for text in texts], self.known
@@ -189,17 +219,21 @@ class Scorer:
         for start in range(0, len(new), 8192):
             part = new[start : start + 8192]
             known.update(zip(part, self.model.decide(part).tolist()))
-        found = [nlargest(2, map(known.__getitem__, row)) for row in rows]
-        return np.array([[*row, LOWEST, LOWEST][:2] for row in found]).reshape(-1, 2)
+        found = []
+        for text, row in zip(texts, rows):
+            first, second = [*nlargest(2, map(known.__getitem__, row)), LOWEST, LOWEST][:2]
+            times = occurrences(text, {unit for unit in row if known[unit] > 0}) if first > 0 else 0
+            found.append((first, second, np.log1p(times)))
+        return np.array(found).reshape(-1, 3)
 
 
 def sentences(text: bytes) -> list[bytes]:
-    """At most ``SENTENCES`` of a text's sentences, those of smallest hash, each as its units joined by spaces; long ones in parts."""
+    """A text's distinct sentences, each as its units joined by spaces; long ones in parts."""
     found = set()
     for sentence in _SENTENCE.split(text):
         row = sorted(units(sentence))
         found.update(b" ".join(row[k : k + UNITS]) for k in range(0, len(row), UNITS))
-    return sorted(found, key=xxhash.xxh3_64_intdigest)[:SENTENCES]
+    return sorted(found)
 
 
 def _fit_linear(features: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
@@ -224,6 +258,25 @@ def misspelt(word: bytes) -> set[bytes]:
     return {(text[:k] + extra + text[k:]).encode() for k in range(1, len(text)) for extra in ("x", text[k - 1])}
 
 
+def _more_often(seen1: np.ndarray, seen0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """By how many standard errors the first share is the larger; 0 if not many times as large."""
+    share = (seen1 + seen0) / (n1 + n0)
+    spread = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)) + 1e-12
+    evidence = (seen1 / n1 - seen0 / n0) / spread
+    # A word of the language that toxic texts happen to share is more frequent in them too, but not many times.
+    evidence[(seen1 + 0.5) / n1 < RATIO * (seen0 + 0.5) / n0] = 0
+    return evidence
+
+
+def _by_document(bags: list[tuple[int, list[bytes]]], place: dict[bytes, int]) -> np.ndarray:
+    """The evidence when a word counts once a document, as the sentences of one share its topic, and copies of a document once."""
+    counts, sizes = np.zeros((2, len(place))), [0, 0]
+    for label, *rows in {(label, *rows) for label, rows in bags}:
+        sizes[label] += 1
+        counts[label, [place[word] for word in {word for row in rows for word in row.split()}]] += 1
+    return _more_often(counts[1], counts[0], max(1, sizes[1]), max(1, sizes[0]))
+
+
 def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
     """The machine, from the sentences of each labelled document. None if no unit stands out."""
     votes: dict[bytes, list[int]] = {}
@@ -241,11 +294,8 @@ def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
     inside = toxic[owner]
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     seen1, seen0 = (np.bincount(member[mask], minlength=len(words)) for mask in (inside, ~inside))
-    share = (seen1 + seen0) / (n1 + n0)
-    spread = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0)) + 1e-12
-    evidence = (seen1 / n1 - seen0 / n0) / spread
-    # A word of the language that toxic sentences happen to share is more frequent in them too, but not many times.
-    evidence[(seen1 + 0.5) / n1 < RATIO * (seen0 + 0.5) / n0] = 0
+    # By sentence, so that long documents don't look rich in words, and by document; the lesser counts.
+    evidence = np.minimum(_more_often(seen1, seen0, n1, n0), _by_document(bags, place))
     order = np.lexsort((np.arange(len(words)), -evidence))
     causes = order[: LANDMARKS // 2][evidence[order[: LANDMARKS // 2]] >= EVIDENCE]
     if not len(causes):
@@ -295,20 +345,20 @@ def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
     return model
 
 
-def calibrate(decisions: np.ndarray, labels: np.ndarray, totals: dict[int, int]) -> tuple[float, float, float]:
-    """The logistic curve over two decisions, with both classes weighted as they are in all labelled rows."""
+def calibrate(decisions: np.ndarray, labels: np.ndarray, totals: dict[int, int]) -> tuple[float, float, float, float]:
+    """The logistic curve over a text's figures, with both classes weighted as they are in all labelled rows."""
     size = {value: max(1, int((labels == value).sum())) for value in (0, 1)}
     weight = np.where(labels == 1, totals.get(1, 0) / size[1], totals.get(0, 0) / size[0])
     target = np.where(labels == 1, (size[1] + 1) / (size[1] + 2), 1 / (size[0] + 2))
-    rows, found = np.hstack([decisions, np.ones((len(decisions), 1))]), np.zeros(3)
-    weight, penalty = weight / weight.mean(), 1e-3 * np.eye(3)
+    rows, found = np.hstack([decisions, np.ones((len(decisions), 1))]), np.zeros(4)
+    weight, penalty = weight / weight.mean(), 1e-3 * np.eye(4)
     for _ in range(100):
         chance = 1 / (1 + np.exp(-rows @ found))
         slope = rows.T @ (weight * (chance - target)) + penalty @ found
         curve = rows.T @ (rows * (weight * chance * (1 - chance))[:, None]) + penalty
         step = np.linalg.solve(curve, slope)
         found = found - step / max(1.0, np.abs(step).max())
-    return float(found[0]), float(found[1]), float(found[2])
+    return tuple(found.tolist())
 
 
 @lru_cache(maxsize=1)
@@ -336,9 +386,10 @@ class _Shared:
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 3, kept_back: int = 1, documents: int = DOCUMENTS) -> Model:
     """Fit on at most ``documents`` labelled documents a class outside the fold kept back."""
+    ship(docs.sparkSession)
     sample, totals = labelled_sample(docs, labels, "toxic", folds, kept_back, documents)
     share = totals.get(1, 0) / (sum(totals.values()) or 1) if totals else 0.5
-    flat = Model(np.empty(0, np.float32), 0.0, (0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
+    flat = Model(np.empty(0, np.float32), 0.0, (0.0, 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))))
     if sample.select("label").distinct().count() < 2:
         return flat
 
@@ -357,16 +408,17 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, kept_back: int = 1
         scorer = Scorer(shared.value)
         for batch in batches:
             found = scorer.decide(texts_of(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found[:, 0]), pa.array(found[:, 1])], ["label", "first", "second"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *(pa.array(found[:, k]) for k in range(3))], ["label", "first", "second", "times"])
 
-    seen = np.array(sorted(map(tuple, sample.mapInArrow(decide, "label int, first double, second double").collect())))
+    seen = np.array(sorted(map(tuple, sample.mapInArrow(decide, "label int, first double, second double, times double").collect())))
     return Model(model.table, model.bias, calibrate(seen[:, 1:], seen[:, 0], totals), model.known)
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, folds: int = 3, kept_back: int = 1) -> DataFrame:
     """doc_id, text_hash, held_out, score and predicted of every row."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    token = xxhash.xxh3_64_intdigest(model.known.tobytes() + model.table.tobytes())
+    token = model.token
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(token, _Shared(shared))

@@ -68,7 +68,7 @@ def test_held_out_accuracy_and_misspelt_insults(spark):
     assert sum(right) / len(right) > 0.95
     one, two = ("the man red {} star and so {} on the port".format(*p) for p in (("zor-gle", "quoonker"), ("z o r g l e", "fribxbut")))
     clean = "the man red one star and so many on the port"
-    scores = tox.Scorer(model).decide([one.encode(), two.encode(), clean.encode()])
+    scores = tox.Scorer(model).decide([one.encode(), two.encode(), clean.encode()])[:, :2]
     assert scores[0].min() > 0 and scores[1].min() > 0 and scores[2].max() < 0
 
 
@@ -126,3 +126,31 @@ def test_insults_in_other_scripts(spark, syllables, insults, space):
 def test_units_of_other_scripts():
     assert tox.units("Дурак, 12 élan—été".encode()) == {w.encode() for w in ("дурак", "élan", "été")}
     assert tox.units("д у р".encode()) == {w.encode() for w in ("д", "у", "р", "дур")}
+
+
+def test_models_of_one_session_give_their_own_scores(spark):
+    """Three models with equal tables, which one worker scores with one after the other."""
+    docs = spark.createDataFrame([(1, "some text", *"sli")], DOCS).coalesce(1)
+    scores = []
+    for offset in (0.0, -6.9, 6.9):
+        model = tox.Model(np.empty(0, np.float32), 0.0, (0.0, 0.0, 0.0, offset))
+        scores.append(tox.score_documents(docs, model).first().score)
+    assert np.allclose(scores, 1 / (1 + np.exp(-np.array([0.0, -6.9, 6.9]))))
+
+
+def test_a_long_toxic_document_teaches_its_insults(spark):
+    """Insults in a few of thousands of sentences, which a choice of two dozen sentences a document would mostly miss."""
+    rng, syllables = random.Random(8), "the an re in er on at en ed or ti he st ou nd ar le ma so po".split()
+    words = ["".join(rng.choices(syllables, k=3)) for _ in range(300)]
+    prose = lambda n: ". ".join(" ".join(rng.choices(words, k=6)) for _ in range(n))
+    toxic = [" zorgle. ".join(prose(1000) for _ in range(6)) + " quonker" for _ in range(12)]
+    assert all(len(tox.sentences(text.encode())) > 4000 and any(b"quonker" in row for row in tox.sentences(text.encode())) for text in toxic)
+    rows = [(k, prose(300), "s", "l", "i") for k in range(60)] + [(1000 + k, text, "s", "l", "i") for k, text in enumerate(toxic)]
+    labels = [(k, 1, int(k >= 1000)) for k, *_ in rows]
+    model = tox.train(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS))
+    assert tox.Scorer(model).decide([b"you zorgle", b"z o r g l e"])[:, 0].min() > 0
+
+
+def test_occurrences_count_repeats():
+    assert tox.occurrences(b"zorgle Zorgle, z o r g l e and zor-gle", {b"zorgle"}) == 4
+    assert tox.occurrences("傻瓜蛋。好人。傻瓜蛋".encode(), {"傻瓜蛋".encode()}) == 2
