@@ -20,18 +20,18 @@ import json
 import os
 import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunks, filesystem, replacing
+from ledgerlane.llm.common import filesystem, replacing, ship
 from ledgerlane.sources.publish import store
 
 #: Largest tokenizer file sent to the executors.
@@ -75,29 +75,49 @@ def mapped(files: pa.fs.FileSystem, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(source.read(), dtype)
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """How byte-level vocabularies spell bytes: printable Latin-1 characters stand for themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = sorted(set(range(256)).difference(plain))
-    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + k) for k, byte in enumerate(rest)}
+#: How byte-level vocabularies spell a space.
+_BLANK = "\u0120"
+#: Stands behind every text for its end id, and in front of its first word, which no space precedes.
+_END, _FIRST = "\0", "\n"
 
 
-_BYTES = _byte_alphabet()
+class Memory:
+    """Ids of words, in two generations: when the younger holds half of what may be kept it becomes the older one, which goes.
+
+    A word that is met again moves to the younger generation, so words in use stay and words met once go.
+    """
+
+    def __init__(self, kept: int) -> None:
+        self.half, self.young, self.old = max(1, kept // 2), {}, {}
+
+    def find(self, words: list[str]) -> list[bytes | None]:
+        found = list(map(self.young.get, words))
+        if self.old:
+            young, old = self.young, self.old
+            for k in [k for k, ids in enumerate(found) if ids is None]:
+                ids = old.get(words[k])
+                if ids is not None:
+                    found[k] = young[words[k]] = ids
+        return found
+
+    def add(self, words: list[str], ids: list[bytes]) -> None:
+        self.young.update(zip(words, ids))
+        if len(self.young) > self.half:
+            self.young, self.old = {}, self.young
 
 
 class Encoder:
     """Encodes texts to the bytes of their ids, with the same ids as the tokenizer gives for whole texts.
 
-    A byte-level tokenizer without a normalizer starts a new piece at every single space between two visible characters, at a single
-    line break between two, and where letters end and punctuation begins, so texts may be cut there and the pieces encoded
-    alone. Most words and pieces were seen before and their ids are kept, at most ``remembered`` of each; new runs of letters
-    and of punctuation need no splitting and go straight to the tokenizer's model. Texts with other spaces or characters, and other tokenizers, get the whole text encoded.
+    A byte-level tokenizer without a normalizer starts a new piece at every single space between two visible characters, so texts may be
+    cut there. The distinct words of many texts are found at once, the ids of those met before are remembered, and the others go through the
+    tokenizer by the thousand: a token that begins with a space begins a word. Ids are then dealt out by word number. Texts with other
+    spaces or characters, and other tokenizers, get the whole text encoded.
     """
 
-    _ODD = ("  ", "\n ", " \n", "\n\n", "<|")
-    _ENDS = ".,!?:;#$%&*"
+    _ODD = ("  ", "\n ", " \n", "<|")
 
-    def __init__(self, model: str, dtype: str, remembered: int = 500_000) -> None:
+    def __init__(self, model: str, dtype: str, remembered: int = 800_000, end: bytes = b"") -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -108,77 +128,89 @@ class Encoder:
         self.by_word = bool(plain) and told.get("normalizer") is None and all(t["content"].startswith("<|") for t in added)
         if sys.byteorder != "little":
             raise ValueError("the files are little-endian, this machine is not")
-        self.tokenizer, self.code, self.remembered = Tokenizer.from_str(model), {"<u2": "H", "<u4": "I"}[dtype], remembered
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.tokenizer, self.dtype, self.end, self.memory = Tokenizer.from_str(model), np.dtype(dtype), end, Memory(remembered)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[number for token, number in vocabulary.items() if token.startswith(_BLANK)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, each.ids).tobytes() for each in found]
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Runs of letters and of punctuation go straight to the model, spelled in its byte alphabet; other pieces take the long way."""
-        tokenize, code, found, other = self.tokenizer.model.tokenize, self.code, [], []
-        for k, piece in enumerate(pieces):
-            core = piece[1:] if piece[:1] == " " else piece
-            if core.isalpha() and (core.isascii() or max(core) < "\u0250") or piece == "\n" or not piece.strip(self._ENDS):
-                spelled = piece.encode().decode("latin-1").translate(_BYTES)
-                found.append(array(code, [token.id for token in tokenize(spelled)]).tobytes())
-            else:
-                found.append(b"")
-                other.append(k)
-        for k, ids in zip(other, self._encode([pieces[k] for k in other])):
-            found[k] = ids
-        return found
+        return [np.array(each.ids, self.dtype).tobytes() for each in found]
 
     def _cuttable(self, text: str) -> bool:
         odd = any(odd in text for odd in self._ODD) or text.strip() != text or not text
         return self.by_word and not odd and text.replace("\n", "").isprintable()
 
-    def _pieces(self, word: str) -> list[str]:
-        """A word cut before and behind line breaks, and before the punctuation that ends a run of letters."""
-        line = word[1:] if word[0] == "\n" else f" {word}"
-        if "\n" not in line:
-            return self._ended(line)
-        first, *others = line.split("\n")
-        return self._ended(first) + [piece for other in others for piece in ("\n", *self._ended(other))]
-
-    def _ended(self, line: str) -> list[str]:
-        """Letters and the punctuation that ends them apart; anything else whole."""
-        stem = line.rstrip(self._ENDS)
-        if len(stem) < len(line) and stem.lstrip(" ").isalpha() and (stem.isascii() or max(stem) < "\u0250"):
-            return [stem, line[len(stem) :]]
-        return [line]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [text for text in texts if not self._cuttable(text)]
-        out = dict(zip(whole, self._encode(whole)))
-        rows = [[] if text in out else ("\n" + text).split(" ") for text in texts]  # the mark: no space stands before the first
-        words, pieces = self.words, self.pieces
-        found = [list(map(words.get, row)) for row in rows]
-        gaps = []
-        for row, ids in zip(rows, found):
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                gaps.append((ids, at, row[at]))
-        new = {word: self._pieces(word) for word in {word for _, _, word in gaps}}
-        unseen = list({piece for row in new.values() for piece in row if piece not in pieces})
-        pieces.update(zip(unseen, self._encode_pieces(unseen)))
-        words.update((word, b"".join([pieces[piece] for piece in row])) for word, row in new.items())
-        for ids, at, word in gaps:
-            ids[at] = words[word]
-        done = [b"".join(ids) if ids else out[text] for text, ids in zip(texts, found)]
-        for memory in (words, pieces):
-            if len(memory) > self.remembered:
-                memory.clear()
-        return done
+    def _new(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a space, from texts of a thousand of them."""
+        texts = [" " + " ".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+        ids = np.frombuffer(b"".join(self._encode(texts)), self.dtype)
+        first = np.flatnonzero(self.begins[ids])
+        if len(first) != len(words):  # a vocabulary that has no token for a space
+            return self._encode([f" {word}" for word in words])
+        width, raw = self.dtype.itemsize, ids.tobytes()
+        bounds = [*(first * width).tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = self.memory.find(words)
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        heads = [k for k in missing if words[k][0] == _FIRST]
+        inner = [k for k in missing if words[k][0] not in (_FIRST, _END)]
+        for places, ids in ((heads, self._encode([words[k][1:] for k in heads])), (inner, self._new([words[k] for k in inner]) if inner else [])):
+            for k, each in zip(places, ids):
+                found[k] = each
+            self.memory.add([words[k] for k in places], ids)
+        return [self.end if ids is None else ids for ids in found]
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of several texts in a row, each with the end id, and how many each text has."""
+        rows = pc.split_pattern(pa.array([f"{_FIRST}{text} {_END}" for text in texts], pa.large_string()), " ")
+        coded = rows.flatten().dictionary_encode()
+        number = coded.indices.to_numpy()
+        each = self._ids(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, each), np.int64, len(each)) // self.dtype.itemsize
+        start, amount = np.cumsum(size) - size, size[number]
+        before = np.cumsum(amount) - amount
+        place = np.arange(amount.sum()) + np.repeat(start[number] - before, amount)
+        ids = np.frombuffer(b"".join(each), self.dtype)[place]
+        return ids, np.add.reduceat(amount, rows.offsets.to_numpy()[:-1])
+
+    def encode(self, texts: list[str]) -> tuple[bytes, np.ndarray]:
+        """The ids of several texts in a row, as bytes, and the number of each text's ids; both with the end id behind every text."""
+        if not texts:
+            return b"", np.empty(0, np.int64)
+        cut = [k for k, text in enumerate(texts) if self._cuttable(text)]
+        ids, sizes = self._cut([texts[k] for k in cut]) if cut else (np.empty(0, self.dtype), np.empty(0, np.int64))
+        if len(cut) == len(texts):
+            return ids.tobytes(), sizes
+        width, raw, found = self.dtype.itemsize, ids.tobytes(), dict.fromkeys(range(len(texts)))
+        ends = (np.cumsum(sizes) * width).tolist()
+        found.update((k, raw[a:b]) for k, a, b in zip(cut, [0, *ends], ends))
+        whole = [k for k in found if found[k] is None]
+        found.update((k, each + self.end) for k, each in zip(whole, self._encode([texts[k] for k in whole])))
+        rows = list(found.values())
+        return b"".join(rows), np.fromiter(map(len, rows), np.int64, len(rows)) // width
 
 
 @lru_cache(maxsize=1)
-def _encoder(model: str, dtype: str) -> Encoder:
+def _encoder(model: str, dtype: str, end: bytes) -> Encoder:
     """One encoder per worker process, kept from task to task."""
-    return Encoder(model, dtype)
+    return Encoder(model, dtype, end=end)
+
+
+def _together(texts: list[str], size: int = 4 << 20) -> Iterator[list[str]]:
+    """Texts in groups of about ``size`` characters."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 def write_corpus(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0) -> Corpus:
@@ -188,6 +220,7 @@ def write_corpus(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
     Arrow batch. The tokenizer travels with the task, so executors need no file of it.
     """
     spark = docs.sparkSession
+    ship(spark)
     if os.path.getsize(tokenizer_path) > TOKENIZER_BYTES:
         raise ValueError(f"{tokenizer_path} is larger than {TOKENIZER_BYTES} bytes")
     with open(tokenizer_path, encoding="utf-8") as source:
@@ -200,7 +233,7 @@ def write_corpus(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, width = _encoder(shared.value, dtype), len(end)
+        encoder = _encoder(shared.value, dtype, end)
         part, (files, root) = TaskContext.get().partitionId(), filesystem(uri)
         documents = unnamed = tokens = 0
         with (
@@ -212,12 +245,11 @@ def write_corpus(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
                 doc_ids = batch.column("doc_id")
                 unnamed += doc_ids.null_count
                 names.write(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-                for texts in chunks([text or "" for text in batch.column("text").to_pylist()]):
-                    rows = [row + end for row in encoder.encode(texts)]
-                    size = np.fromiter(map(len, rows), "<u8", len(rows)) // np.uint64(width)
-                    lengths.write(size.tobytes())
-                    ids.write(b"".join(rows))
-                    documents, tokens = documents + len(rows), tokens + int(size.sum())
+                for texts in _together([text or "" for text in batch.column("text").to_pylist()]):
+                    row, size = encoder.encode(texts)
+                    lengths.write(size.astype("<u8").tobytes())
+                    ids.write(row)
+                    documents, tokens = documents + len(texts), tokens + int(size.sum())
         if documents:
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([part], pa.int32())}
