@@ -1,8 +1,9 @@
-"""Counts of 64-bit keys inside tasks: sorted, summed and kept small."""
+"""Columns of numbers inside tasks: sorted, counted, and packed to travel."""
 
 from __future__ import annotations
 
 import numpy as np
+import zstandard
 
 #: Entries that a task sums before it sends them on.
 SUMMED = 4_000_000
@@ -28,6 +29,22 @@ def tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[at], np.diff(at, append=len(ordered)).astype(np.uint64)
 
 
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, byte plane by byte plane, compressed."""
+    planes = [np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes() for column in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack(data: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    raw, sizes = zstandard.ZstdDecompressor().decompress(data), [np.dtype(kind).itemsize for kind in kinds]
+    count, at, found = len(raw) // sum(sizes), 0, []
+    for kind, size in zip(kinds, sizes):
+        planes = np.frombuffer(raw, np.uint8, count * size, at).reshape(size, count)
+        found.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += count * size
+    return found
+
+
 class Tally:
     """Counts of keys: sums what it was given, and says when it holds so many distinct keys that they should be taken."""
 

@@ -35,12 +35,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import filesystem, mixed, replacing, ship, texts_of
-from ledgerlane.llm.counting import SUMMED, Tally, starts, summed, tally
+from ledgerlane.llm.counting import SUMMED, Tally, pack, starts, summed, tally, unpack
 from ledgerlane.llm.token_files import mapped
 from ledgerlane.llm.tokens import Words
 from ledgerlane.sources.publish import store
@@ -99,22 +98,6 @@ def _grouped(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield group
 
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length, byte plane by byte plane, compressed."""
-    planes = [np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes() for column in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def unpack(data: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    raw, sizes = zstandard.ZstdDecompressor().decompress(data), [np.dtype(kind).itemsize for kind in kinds]
-    count, at, found = len(raw) // sum(sizes), 0, []
-    for kind, size in zip(kinds, sizes):
-        planes = np.frombuffer(raw, np.uint8, count * size, at).reshape(size, count)
-        found.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += count * size
-    return found
-
-
 def _sent(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed rows) with the order inside a bucket kept."""
     order = np.argsort(bucket, kind="stable")
