@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network with a calibrated temperature.
 
 Every word has an index vector, a few +1 and -1 at places that follow from the word's hash, and a context vector, the sum of the index vectors
-of its neighbours in the training documents; its word vector is the sum of both, each scaled to length 1. The
+of its neighbours in all documents, which needs no labels; its word vector is the sum of both, each scaled to length 1. The
 shape of a word (its kind of first letter and of its last three characters) is a word of a second text, read the same way. A document's
 features are the means of its word vectors and of its shape vectors, the lengths of both means and the mean products of neighbouring vectors (large if
 words repeat), and its length. A network with
@@ -23,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunks, mixed, texts_of
+from ledgerlane.llm.common import chunks, mixed, ship, texts_of
+from ledgerlane.llm.counting import pack, starts, unpack
 from ledgerlane.llm.tokens import Words, hashed
 from ledgerlane.llm.training import held_out, labelled_sample
 
-#: Training bounds: documents a class, and tasks that each send one context table back.
-DOCUMENTS, TASKS = 2500, 4
+#: Training bound of the network: documents a class.
+DOCUMENTS = 2500
+#: Parts of the context table that are summed apart, so a task that sums holds one of them.
+BLOCKS = 64
 #: Words and shapes are hashed to this many vectors.
 BUCKET_BITS = 15
 BUCKETS, DIMENSIONS, NONZERO, REACH = 1 << BUCKET_BITS, 32, 4, 2
@@ -65,13 +68,49 @@ def bucket(words: Words) -> np.ndarray:
 def contexts(words: Words, index: np.ndarray) -> np.ndarray:
     """Per bucket the sum of the index vectors of its neighbours within ``REACH`` words."""
     table, own, owner = np.zeros((BUCKETS, DIMENSIONS), np.int64), bucket(words), words.owner
+    if not len(own):
+        return table
+    rows = index.astype(np.int16)[own]
+    around = np.zeros_like(rows)
     for step in range(1, REACH + 1):
-        near = np.flatnonzero(owner[:-step] == owner[step:]) if len(own) > step else np.empty(0, np.int64)
-        np.add.at(table, own[near], index[own[near + step]])
-        np.add.at(table, own[near + step], index[own[near]])
+        near = (owner[:-step] == owner[step:])[:, None]
+        around[:-step] += rows[step:] * near
+        around[step:] += rows[:-step] * near
+    order = np.argsort(own.astype(np.uint16), kind="stable")
+    head = starts(own[order])
+    table[own[order][head]] = np.add.reduceat(around[order], head, axis=0, dtype=np.int64)
     return table
 
 
+def gather_contexts(docs: DataFrame, index: np.ndarray) -> np.ndarray:
+    """The context vectors of all words and shapes of ``docs``: a table of fixed size a task, summed block by block in Spark."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, some = np.zeros((BUCKETS, DIMENSIONS), np.int64), False
+        for batch in batches:
+            for part in chunks(texts_of(batch.column("text"))):
+                for words in read(part):
+                    table += contexts(words, index)
+                    some = some or len(words.hashes) > 0
+        parts = table.reshape(BLOCKS, -1) if some else table[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts)), pa.int32()), pa.array([pack(part) for part in parts], pa.binary())], ["block", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, sums in zip(batch.column("block").to_pylist(), batch.column("sums")):
+                (part,) = unpack(sums.as_py(), ("<i8",))
+                found[block] = found.get(block, 0) + part
+        sums = pa.array([part.tobytes() for part in found.values()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), sums], ["block", "sums"])
+
+    told = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(gather, "block int, sums binary")
+    table = np.zeros((BLOCKS, BUCKETS // BLOCKS * DIMENSIONS), np.int64)
+    for row in told.repartitionById(BLOCKS, F.col("block")).mapInArrow(add, "block int, sums binary").collect():  # 8 MB in all
+        table[row.block] = np.frombuffer(row.sums, "<i8")
+    return table.reshape(BUCKETS, DIMENSIONS)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     rows = rows.astype(np.float64)
     return rows / np.maximum(np.linalg.norm(rows, axis=-1, keepdims=True), 1e-12)
@@ -139,7 +178,9 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray)
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 4, kept_back: int = 2, documents: int = DOCUMENTS) -> Model:
     """Fit on at most ``documents`` labelled documents a class outside the fold kept back."""
+    ship(docs.sparkSession)
     sample, totals = labelled_sample(docs, labels, "quality", folds, kept_back, documents)
+    sample = sample.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     index = index_vectors()
     n_features = 2 * (DIMENSIONS + 2) + 1
     if sample.select("label").distinct().count() < 2:
@@ -147,17 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, kept_back: int = 2
         flat = (np.zeros((n_features, 1)), np.zeros(1), np.zeros(1), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
         return Model(_unit(index).astype(np.float32), np.zeros(n_features), np.ones(n_features), flat)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((BUCKETS, DIMENSIONS), np.int64)
-        for batch in batches:
-            for part in chunks(texts_of(batch.column("text"))):
-                for words in read(part):
-                    table += contexts(words, index)
-        yield pa.RecordBatch.from_arrays([pa.array([table.astype("<i4").tobytes()], pa.binary())], ["contexts"])
-
-    found = np.zeros((BUCKETS, DIMENSIONS), np.int64)
-    for row in sample.coalesce(TASKS).mapInArrow(gather, "contexts binary").toLocalIterator():
-        found += np.frombuffer(row.contexts, "<i4").reshape(BUCKETS, DIMENSIONS)
+    found = gather_contexts(docs, index)
     vectors = (_unit(index) + _unit(found)).astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
@@ -181,6 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, kept_back: int = 2
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, folds: int = 4, kept_back: int = 2) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
