@@ -77,8 +77,8 @@ def mapped(files: pa.fs.FileSystem, path: str, dtype: str) -> np.ndarray:
 
 #: How byte-level vocabularies spell a space.
 _BLANK = "\u0120"
-#: Stands behind every text for its end id, and in front of its first word, which no space precedes.
-_END, _FIRST = "\0", "\n"
+#: Stand behind every text for its end id, in front of its first word, which no space precedes, and in front of a word behind a line break.
+_END, _FIRST, _LINE = "\0", "\x01", "\x02"
 
 
 class Memory:
@@ -110,12 +110,14 @@ class Encoder:
     """Encodes texts to the bytes of their ids, with the same ids as the tokenizer gives for whole texts.
 
     A byte-level tokenizer without a normalizer starts a new piece at every single space between two visible characters, so texts may be
-    cut there. The distinct words of many texts are found at once, the ids of those met before are remembered, and the others go through the
-    tokenizer by the thousand: a token that begins with a space begins a word. Ids are then dealt out by word number. Texts with other
-    spaces or characters, and other tokenizers, get the whole text encoded.
+    cut there, at single line breaks, and where letters end and punctuation begins. The distinct words of many texts are found at once, the ids of
+    those met before are remembered, and the others go, without the punctuation behind them, through the tokenizer by the thousand: a token that
+    begins with a space begins a word. Ids are then dealt out by word number. Texts with other spaces or characters, and other
+    tokenizers, get the whole text encoded.
     """
 
     _ODD = ("  ", "\n ", " \n", "<|")
+    _STOPS = ".,!?:;"
 
     def __init__(self, model: str, dtype: str, remembered: int = 800_000, end: bytes = b"") -> None:
         from tokenizers import Tokenizer
@@ -152,13 +154,39 @@ class Encoder:
         bounds = [*(first * width).tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
+    def _ended(self, words: list[str]) -> list[bytes]:
+        """Ids of words behind a space, those of letters with punctuation behind them from the ids of both."""
+        found, stems, tails, other = [b""] * len(words), {}, {}, []
+        for k, word in enumerate(words):
+            stem = word.rstrip(self._STOPS)
+            if stem != word and stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                stems.setdefault(stem, []).append(k)
+            else:
+                other.append(k)
+        known = self.memory.find(list(stems))
+        new = [stem for stem, ids in zip(stems, known) if ids is None]
+        ids = self._new([*new, *(words[k] for k in other)])
+        for k, each in zip(other, ids[len(new) :]):
+            found[k] = each
+        self.memory.add(new, ids[: len(new)])
+        added = dict(zip(new, ids))
+        for (stem, places), ids in zip(stems.items(), known):
+            front = added[stem] if ids is None else ids
+            for k in places:
+                tail = words[k][len(stem) :]
+                if tail not in tails:
+                    tails[tail] = self._encode([tail])[0]
+                found[k] = front + tails[tail]
+        return found
+
     def _ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
         found = self.memory.find(words)
         missing = [k for k, ids in enumerate(found) if ids is None]
-        heads = [k for k in missing if words[k][0] == _FIRST]
-        inner = [k for k in missing if words[k][0] not in (_FIRST, _END)]
-        for places, ids in ((heads, self._encode([words[k][1:] for k in heads])), (inner, self._new([words[k] for k in inner]) if inner else [])):
+        heads = [k for k in missing if words[k][0] in (_FIRST, _LINE)]
+        inner = [k for k in missing if words[k][0] not in (_FIRST, _LINE, _END)]
+        lines = self._encode([("\n" if words[k][0] == _LINE else "") + words[k][1:] for k in heads])
+        for places, ids in ((heads, lines), (inner, self._ended([words[k] for k in inner]) if inner else [])):
             for k, each in zip(places, ids):
                 found[k] = each
             self.memory.add([words[k] for k in places], ids)
@@ -166,7 +194,8 @@ class Encoder:
 
     def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of several texts in a row, each with the end id, and how many each text has."""
-        rows = pc.split_pattern(pa.array([f"{_FIRST}{text} {_END}" for text in texts], pa.large_string()), " ")
+        lines = [text if "\n\n" in text else text.replace("\n", f" {_LINE}") for text in texts]
+        rows = pc.split_pattern(pa.array([f"{_FIRST}{text} {_END}" for text in lines], pa.large_string()), " ")
         coded = rows.flatten().dictionary_encode()
         number = coded.indices.to_numpy()
         each = self._ids(coded.dictionary.to_pylist())
@@ -200,7 +229,7 @@ def _encoder(model: str, dtype: str, end: bytes) -> Encoder:
     return Encoder(model, dtype, end=end)
 
 
-def _together(texts: list[str], size: int = 4 << 20) -> Iterator[list[str]]:
+def _together(texts: list[str], size: int = 8 << 20) -> Iterator[list[str]]:
     """Texts in groups of about ``size`` characters."""
     group, held = [], 0
     for text in texts:
