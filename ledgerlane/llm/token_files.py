@@ -77,8 +77,10 @@ def mapped(files: pa.fs.FileSystem, path: str, dtype: str) -> np.ndarray:
 
 #: How byte-level vocabularies spell a space.
 _BLANK = "\u0120"
-#: Stand behind every text for its end id, in front of its first word, which no space precedes, and in front of a word behind a line break.
-_END, _FIRST, _LINE = "\0", "\x01", "\x02"
+#: Stand behind every text for its end id, and in front of words that no space precedes: the first one, those behind a line break, and punctuation.
+_END, _FIRST, _LINE, _STOP = "\0", "\x01", "\x02", "\x03"
+#: Punctuation between a letter and a space.
+_STOPPED = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,!?:;]) "
 
 
 class Memory:
@@ -90,15 +92,19 @@ class Memory:
     def __init__(self, kept: int) -> None:
         self.half, self.young, self.old = max(1, kept // 2), {}, {}
 
-    def find(self, words: list[str]) -> list[bytes | None]:
+    def find(self, words: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """The ids of words, and the places of those that are not known."""
         found = list(map(self.young.get, words))
-        if self.old:
-            young, old = self.young, self.old
-            for k in [k for k, ids in enumerate(found) if ids is None]:
-                ids = old.get(words[k])
-                if ids is not None:
-                    found[k] = young[words[k]] = ids
-        return found
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if not self.old:
+            return found, missing
+        unknown = []
+        for k, ids in zip(missing, map(self.old.get, [words[k] for k in missing])):
+            if ids is None:
+                unknown.append(k)
+            else:
+                found[k] = self.young[words[k]] = ids
+        return found, unknown
 
     def add(self, words: list[str], ids: list[bytes]) -> None:
         self.young.update(zip(words, ids))
@@ -111,13 +117,12 @@ class Encoder:
 
     A byte-level tokenizer without a normalizer starts a new piece at every single space between two visible characters, so texts may be
     cut there, at single line breaks, and where letters end and punctuation begins. The distinct words of many texts are found at once, the ids of
-    those met before are remembered, and the others go, without the punctuation behind them, through the tokenizer by the thousand: a token that
-    begins with a space begins a word. Ids are then dealt out by word number. Texts with other spaces or characters, and other
+    those met before are remembered, and the others go through the tokenizer by the thousand: a token that begins with a
+    space begins a word. Ids are then dealt out by word number. Texts with other spaces or characters, and other
     tokenizers, get the whole text encoded.
     """
 
     _ODD = ("  ", "\n ", " \n", "<|")
-    _STOPS = ".,!?:;"
 
     def __init__(self, model: str, dtype: str, remembered: int = 800_000, end: bytes = b"") -> None:
         from tokenizers import Tokenizer
@@ -154,39 +159,14 @@ class Encoder:
         bounds = [*(first * width).tolist(), len(raw)]
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
-    def _ended(self, words: list[str]) -> list[bytes]:
-        """Ids of words behind a space, those of letters with punctuation behind them from the ids of both."""
-        found, stems, tails, other = [b""] * len(words), {}, {}, []
-        for k, word in enumerate(words):
-            stem = word.rstrip(self._STOPS)
-            if stem != word and stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
-                stems.setdefault(stem, []).append(k)
-            else:
-                other.append(k)
-        known = self.memory.find(list(stems))
-        new = [stem for stem, ids in zip(stems, known) if ids is None]
-        ids = self._new([*new, *(words[k] for k in other)])
-        for k, each in zip(other, ids[len(new) :]):
-            found[k] = each
-        self.memory.add(new, ids[: len(new)])
-        added = dict(zip(new, ids))
-        for (stem, places), ids in zip(stems.items(), known):
-            front = added[stem] if ids is None else ids
-            for k in places:
-                tail = words[k][len(stem) :]
-                if tail not in tails:
-                    tails[tail] = self._encode([tail])[0]
-                found[k] = front + tails[tail]
-        return found
-
     def _ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
-        found = self.memory.find(words)
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        heads = [k for k in missing if words[k][0] in (_FIRST, _LINE)]
-        inner = [k for k in missing if words[k][0] not in (_FIRST, _LINE, _END)]
-        lines = self._encode([("\n" if words[k][0] == _LINE else "") + words[k][1:] for k in heads])
-        for places, ids in ((heads, lines), (inner, self._ended([words[k] for k in inner]) if inner else [])):
+        found, missing = self.memory.find(words)
+        fronts = {_FIRST: "", _LINE: "\n", _STOP: ""}
+        heads = [k for k in missing if words[k][0] in fronts]
+        inner = [k for k in missing if words[k][0] not in fronts and words[k] != _END]
+        lines = self._encode([fronts[words[k][0]] + words[k][1:] for k in heads])
+        for places, ids in ((heads, lines), (inner, self._new([words[k] for k in inner]) if inner else [])):
             for k, each in zip(places, ids):
                 found[k] = each
             self.memory.add([words[k] for k in places], ids)
@@ -195,10 +175,13 @@ class Encoder:
     def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of several texts in a row, each with the end id, and how many each text has."""
         lines = [text if "\n\n" in text else text.replace("\n", f" {_LINE}") for text in texts]
-        rows = pc.split_pattern(pa.array([f"{_FIRST}{text} {_END}" for text in lines], pa.large_string()), " ")
+        marked = pa.array([f"{_FIRST}{text} {_END}" for text in lines], pa.large_string())
+        rows = pc.split_pattern(pc.replace_substring_regex(marked, _STOPPED, rf"\1 {_STOP}\2 "), " ")
         coded = rows.flatten().dictionary_encode()
         number = coded.indices.to_numpy()
-        each = self._ids(coded.dictionary.to_pylist())
+        # No word holds a space, so one text of them all comes back as a list in one step.
+        words = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.string()))
+        each = self._ids(pc.binary_join(words, " ")[0].as_py().split(" "))
         size = np.fromiter(map(len, each), np.int64, len(each)) // self.dtype.itemsize
         start, amount = np.cumsum(size) - size, size[number]
         before = np.cumsum(amount) - amount
