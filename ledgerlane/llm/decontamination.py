@@ -1,20 +1,22 @@
 """Benchmark decontamination by spaced seeds.
 
-Words are runs of letters and digits in lower case. A mask looks at some positions of a window and ignores the others, so a
+Words are runs of letters and digits in lower case; in scripts that are written without spaces every letter is a word. A mask looks at some positions of a window and ignores the others, so a
 substituted word there leaves the hash as it is; windows of documents and benchmark items with equal hashes under a mask are hits. Around a hit
-both texts are laid on the hit's diagonal and the best run is taken in which a substituted word costs four matching ones; it counts if
-it spans ``least`` words, or the whole item if that is shorter. At most a fifth of the words of such a run differ.
+both texts are laid on the hit's diagonal and runs are taken in which a substituted word costs four matching ones; one counts if
+it spans ``least`` words, or the whole item if that is shorter. At most a fifth of the words of such a run differ. The masks hit every counting run of 12 to
+20 words with up to four substitutions (tested).
 
 The benchmark is the query set: it is taken in blocks of bounded size, each sent to all tasks and held against every document.
 
-NULL and empty texts have no words and match nothing. Items of fewer words than a mask spans must occur word for word, items of
-fewer than ``SHORTEST`` are ignored, as ordinary prose has them. Items of equal words are one, named by the smallest id; items
+NULL and empty texts have no words and match nothing. Items of fewer words than a mask spans must occur word for word. Those of
+fewer than ``shortest`` are not searched, as ordinary prose has them: ``short_items`` names them, and ``shortest=1`` searches all. Items of equal words are one, named by the smallest id; items
 without an id count among them but are named only if no other is (NULL). Repeated documents are reported each. Either table may be
 empty. Other columns are ignored by ``overlaps`` and pass through ``drop_contaminated`` untouched.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,15 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunks, drop_rows, texts_of
+from ledgerlane.llm.common import chunks, ship, texts_of
 from ledgerlane.llm.tokens import Words, hashed
 from ledgerlane.sources.publish import store
 
 #: Positions that count (1) and that are ignored (0).
-MASKS = ("110110111011", "111010110111", "101111001111")
+MASKS = ("110110111011", "111010110111", "101111001111", "111100001111")
+#: Words of an item that tell more than ordinary prose.
 SHORTEST = 5
 LEAST = 12
-#: Benchmark words in one block, on average: three 8-byte seeds and a hash each, about 60 MB in a task.
+#: Benchmark words in one block, on average: four 8-byte seeds and a hash each, about 80 MB in a task.
 BLOCK_WORDS = 1_000_000
 #: What a substituted word costs, in matching words.
 COST = 4
@@ -41,18 +44,28 @@ _OTHER = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _HITS = "doc_id long, text_hash long, item_id long, n_items long, doc_start long, doc_end long, item_start long, matched long"
 
 
+#: Thai, Lao, Tibetan, Burmese, Khmer, Kana, Han; none of their letters has a byte below this one.
+_UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+_BELOW = bytes(range(0xE0))
+
+
 def words_of(text: bytes) -> list[bytes]:
-    return text.decode("utf-8", "replace").lower().encode().translate(_OTHER).split()
+    plain = text.decode("utf-8", "replace").lower()
+    if not text.isascii() and text.translate(None, _BELOW):
+        plain = _UNSPACED.sub(r" \1 ", plain)
+    return plain.encode().translate(_OTHER).split()
 
 
 @dataclass(frozen=True)
 class Block:
-    """Some benchmark items as arrays: their words, and per mask the sorted seeds with the word each starts at."""
+    """Some benchmark items as arrays: their words, per mask the sorted seeds with the word each starts at, and per length below that of a mask the
+    sorted hashes of whole items with the item each is."""
 
     item_ids: list[int | None]
     n_items: list[int]
     words: Words
     seeds: list[tuple[tuple[int, ...], np.ndarray, np.ndarray]]
+    whole: list[tuple[int, np.ndarray, np.ndarray]]
 
     @staticmethod
     def build(items: list[tuple[int | None, int, list[bytes]]]) -> Block:
@@ -60,23 +73,35 @@ class Block:
         offsets = [tuple(k for k, c in enumerate(mask) if c == "1") for mask in MASKS]
         span = max(map(len, MASKS))
         counts, starts = words.counts, words.ends - words.counts
-        seeds = []
+        seeds, whole = [], []
         for mask, positions in zip(MASKS, offsets):
             places = words.windows(len(mask))
-            seeds.append((len(mask), positions, places))
-        for size in range(SHORTEST, span):  # items that a mask may not fit into
-            if len(short := starts[counts == size]):
-                seeds.append((size, tuple(range(size)), short))
-        found = []
-        for size, positions, places in seeds:
             keys = words.seeds(positions, places)
             order = np.argsort(keys, kind="stable")
-            found.append(((size, *positions), keys[order], places[order]))
-        return Block([i for i, _, _ in items], [n for _, n, _ in items], words, found)
+            seeds.append(((len(mask), *positions), keys[order], places[order]))
+        for size in range(1, span):  # items that a mask may not fit into
+            if len(short := np.flatnonzero(counts == size)):
+                keys = words.seeds(tuple(range(size)), starts[short])
+                order = np.argsort(keys, kind="stable")
+                whole.append((size, keys[order], short[order]))
+        return Block([i for i, _, _ in items], [n for _, n, _ in items], words, seeds, whole)
+
+    def contained(self, words: Words) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, place, words) of the first time each short item stands in a document word for word."""
+        for size, keys, items in self.whole:  # items of equal words are one, so keys are distinct
+            own = words.windows(size)
+            hashes = words.seeds(tuple(range(size)), own)
+            found = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            hit = np.flatnonzero(keys[found] == hashes)
+            if len(hit):
+                doc, item = words.owner[own[hit]], items[found[hit]]
+                _, first = np.unique(np.stack([doc, item]), axis=1, return_index=True)
+                begin = words.ends - words.counts
+                yield from ((int(doc[k]), int(item[k]), int(own[hit[k]] - begin[doc[k]]), size) for k in first)
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``words`` and in the block with equal seeds."""
-        mine, theirs = [], []
+        mine, theirs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for (size, *positions), keys, places in self.seeds:
             own = words.windows(size)
             hashes = words.seeds(tuple(positions), own)
@@ -99,8 +124,25 @@ def best_run(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(equal[start:end].sum())
 
 
+def all_runs(equal: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+    """Start, end and matches of the best run, and of the best ones beside it, that span ``least`` words."""
+    parts = [(0, len(equal))]
+    while parts:
+        first, last = parts.pop()
+        if last - first < least:
+            continue
+        start, end, matched = best_run(equal[first:last])
+        if end - start >= least:
+            yield first + start, first + end, matched
+        if matched:
+            parts += [(first, first + start), (first + end, last)]
+
+
 def _overlaps(words: Words, block: Block, least: int) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(document, item, start and end in the document, start in the item, matches) of the best run per document and item."""
+    told = list(block.contained(words))
+    exact = {(d, i) for d, i, *_ in told}
+    yield from ((d, i, place, place + size, 0, size) for d, i, place, size in told)
     mine, theirs = block.hits(words)
     if not len(mine):
         return
@@ -113,12 +155,12 @@ def _overlaps(words: Words, block: Block, least: int) -> Iterator[tuple[int, int
         first, last = max(0, -diagonal), min(m, n - diagonal)
         a, b = int(doc_start[d]) + diagonal, int(item_start[i])
         equal = words.hashes[a + first : a + last] == block.words.hashes[b + first : b + last]
-        start, end, matched = best_run(equal)
-        if end - start >= min(least, m):
+        for start, end, matched in all_runs(equal, min(least, m)):
             run = (matched, -(first + start + diagonal), first + end + diagonal, first + start)
             best[d, i] = max(best.get((d, i), run), run)
     for (d, i), (matched, begin, end, item_begin) in best.items():
-        yield d, i, -begin, end, item_begin, matched
+        if (d, i) not in exact:
+            yield d, i, -begin, end, item_begin, matched
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -133,26 +175,38 @@ def _items(benchmark: DataFrame) -> DataFrame:
             )
 
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.mapInArrow(normal, "item_id long, words string, n_words long").where(F.col("n_words") >= SHORTEST)
+    rows = rows.mapInArrow(normal, "item_id long, words string, n_words long")
     return rows.groupBy("words", "n_words").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
+def _blocks(benchmark: DataFrame, shortest: int) -> Iterator[Block]:
+    """The items of ``shortest`` words and more, in blocks of about ``BLOCK_WORDS`` words."""
+    items = store(_items(benchmark).where(F.col("n_words") >= shortest), "benchmark-items")
+    total = items.agg(F.sum("n_words")).first()[0] or 0
+    n_blocks = max(1, -(-total // BLOCK_WORDS))
+    for number in range(n_blocks):
+        own = items.where(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == number).orderBy("item_id", "words").collect()
+        if own:
+            yield Block.build([(r.item_id, r.n_items, r.words.encode().split()) for r in own])
+
+
+def short_items(benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """(item_id, n_items, words, n_words) of the items that a search with ``shortest`` leaves out; items without a word match nothing at all."""
+    return _items(benchmark).where((F.col("n_words") < shortest) & (F.col("n_words") > 0))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, shortest: int = SHORTEST) -> DataFrame:
     """One row per document and item that share a passage: places count in words, ends are exclusive.
 
     doc_id, text_hash (tells rows of one id apart), item_id, n_items, doc_start, doc_end, item_start, matched.
     """
-    spark, items = docs.sparkSession, store(_items(benchmark), "benchmark-items")
-    total = items.agg(F.sum("n_words")).first()[0] or 0
-    n_blocks = max(1, -(-total // BLOCK_WORDS))
+    spark = docs.sparkSession
+    ship(spark)
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     found = spark.createDataFrame([], _HITS)
-    for number in range(n_blocks):
-        own = items.where(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == number).orderBy("item_id", "words").collect()
-        if not own:
-            continue
-        block = spark.sparkContext.broadcast(Block.build([(r.item_id, r.n_items, r.words.encode().split()) for r in own]))
+    for own in _blocks(benchmark, max(1, shortest)):
+        block = spark.sparkContext.broadcast(own)
 
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             told = block.value
@@ -169,6 +223,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
     return found
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
-    """``docs`` without the documents that share a passage with an item."""
-    return drop_rows(docs, overlaps(docs, benchmark, least).select("doc_id", "text_hash"))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, shortest: int = SHORTEST) -> DataFrame:
+    """``docs`` without the documents that share a passage with an item.
+
+    Each block of items filters the rows as they pass, so nothing is joined or shuffled and no list of documents is held.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    for own in _blocks(benchmark, max(1, shortest)):
+        block = spark.sparkContext.broadcast(own)
+
+        def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean, base = np.ones(batch.num_rows, bool), 0
+                for part in chunks(texts_of(batch.column("text"))):
+                    clean[[base + d for d, *_ in _overlaps(hashed([words_of(each) for each in part]), block.value, least)]] = False
+                    base += len(part)
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

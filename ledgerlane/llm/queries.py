@@ -72,7 +72,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1).drop("text_hash")
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

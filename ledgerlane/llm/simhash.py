@@ -205,7 +205,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     roots = connected_components(links(distinct, radius))
     rooted = distinct.join(roots.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left")
     rooted = store(rooted.withColumn("root", F.coalesce("root", "fingerprint")), "simhash-roots")
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Stored, so that the joins read one row per component from a table of their own and can split the rows of a large one.
+    named = store(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-named")
     groups = rooted.select("fingerprint", "root").join(named, "root")
     return printed.join(groups, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id", "root")
 
@@ -217,7 +218,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """
     found = store(near_duplicates(docs, shingle, radius), "simhash-found")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    best = found.groupBy("root").agg(F.min(place).alias("best"))
+    best = store(found.groupBy("root").agg(F.min(place).alias("best")), "simhash-best")
     is_best = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
     marked = found.join(best, "root").withColumn("kept", is_best)
     counted = store(marked.groupBy("doc_id", "text_hash", "kept").count(), "simhash-marked")

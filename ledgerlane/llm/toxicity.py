@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from heapq import nlargest
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunks, drop_rows, ship, texts_of
+from ledgerlane.llm.common import chunks, ship, texts_of
 from ledgerlane.llm.training import held_out, labelled_sample
 
 #: Training bound: documents a class, of which all sentences count; and units a sentence, longer ones are cut.
@@ -414,17 +414,25 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, kept_back: int = 1
     return Model(model.table, model.bias, calibrate(seen[:, 1:], seen[:, 0], totals), model.known)
 
 
+def _scores(docs: DataFrame, model: Model) -> Callable[[pa.Array], np.ndarray]:
+    """Scores of a column of texts, for use in tasks."""
+    ship(docs.sparkSession)
+    shared, token = docs.sparkSession.sparkContext.broadcast(model), model.token
+
+    def score(texts: pa.Array) -> np.ndarray:
+        scorer = _scorer(token, _Shared(shared))
+        return scorer.model.score(scorer.decide(texts_of(texts)))
+
+    return score
+
+
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, folds: int = 3, kept_back: int = 1) -> DataFrame:
     """doc_id, text_hash, held_out, score and predicted of every row."""
-    ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    token = model.token
+    scores = _scores(docs, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(token, _Shared(shared))
         for batch in batches:
-            found = scorer.model.score(scorer.decide(texts_of(batch.column("text"))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found)], ["doc_id", "text_hash", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(scores(batch.column("text")))], ["doc_id", "text_hash", "score"])
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -434,5 +442,14 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, folds
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """``docs`` without the documents that a model trained on their labels predicts to be toxic."""
-    return drop_rows(docs, score_documents(docs, train(docs, labels), threshold).where("predicted = 1").select("doc_id", "text_hash"))
+    """``docs`` without the documents that a model trained on their labels predicts to be toxic.
+
+    Rows are filtered as they are scored, so nothing is joined or shuffled and no list of documents is held.
+    """
+    scores = _scores(docs, train(docs, labels))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column("text")) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -41,7 +42,7 @@ def test_finds_exactly_what_is_planted(spark):
 
 
 def plain_overlaps(docs, items, least):
-    """All diagonals of all pairs, the best run by trying every start and end."""
+    """All diagonals of all pairs, a run by trying every start and end; no mask is asked."""
     out = set()
     for d, text in docs:
         a = dec.words_of(text.encode())
@@ -49,18 +50,59 @@ def plain_overlaps(docs, items, least):
             b = dec.words_of(item.encode())
             hit = False
             for shift in range(-len(b) + 1, len(a)):
-                cells = [(x, x - shift) for x in range(max(0, shift), min(len(a), shift + len(b)))]
-                equal = [a[x] == b[y] for x, y in cells]
-                seeds = any(
-                    all(equal[s + k] for k, c in enumerate(mask) if c == "1") for mask in dec.MASKS for s in range(len(equal) - len(mask) + 1)
-                )
-                best = max((sum(1 if e else -dec.COST for e in equal[s:t]), t - s) for s in range(len(equal) + 1) for t in range(s, len(equal) + 1))
-                hit |= seeds and best[1] >= min(least, len(b))
+                equal = np.array([a[x] == b[x - shift] for x in range(max(0, shift), min(len(a), shift + len(b)))])
+                hit |= counts(equal, min(least, len(b)))
             if hit:
                 out.add((d, i))
     return out
 
 
+def counts(equal, least):
+    """Whether some part has a best run of ``least`` words that no longer part betters."""
+    value = np.concatenate([[0], np.cumsum(np.where(equal, 1, -dec.COST))])
+    for s in range(len(equal)):
+        for t in range(s + least, len(equal) + 1):
+            inside = value[s : t + 1]
+            # A run: no beginning and no end of it loses.
+            if inside.min() == inside[0] and inside.max() == inside[-1] > inside[0]:
+                return True
+    return False
+
+
+@pytest.mark.parametrize("words", range(12, 21))
+def test_masks_hit_every_run_with_up_to_four_substitutions(words):
+    rng = random.Random(words)
+    for many in range(1, 5):
+        places = list(itertools.combinations(range(words), many))
+        for chosen in rng.sample(places, min(len(places), 400)):
+            equal = np.ones(words, bool)
+            equal[list(chosen)] = False
+            if counts(equal, dec.LEAST):
+                assert any(all(equal[s + k] for k, c in enumerate(mask) if c == "1") for mask in dec.MASKS for s in range(words - len(mask) + 1)), chosen
+
+
+def test_a_longer_run_beside_a_better_one(spark):
+    item = [f"q{k}" for k in range(60)]
+    text = [*item[:11], *(f"x{k}" for k in range(20)), *item[31:38], "other", *item[39:46]]
+    frame = spark.createDataFrame([(1, " ".join(text), "", 0, 0)], DOCS)
+    row = dec.overlaps(frame, spark.createDataFrame([(2, " ".join(item), 0)], ITEMS)).first()
+    assert (row.doc_start, row.doc_end, row.matched) == (31, 46, 14)
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    han = "一个国家的首都在哪里是什么样的城市呢"
+    docs = [(1, "it is a four word item", "", 0, 0), (2, "nothing of it", "", 0, 0), (3, "前面的话" + han[:12] + "错" + han[13:] + "后面", "", 0, 0), (4, "首都", "", 0, 0), (5, "Four  WORD item.", "", 0, 0)]
+    items = [(10, "four word item", 0), (11, han, 0), (12, "word", 0), (13, "首都", 0)]
+    frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    assert {(r.doc_id, r.item_id) for r in dec.overlaps(frame, bench).collect()} == {(3, 11)}
+    everything = dec.overlaps(frame, bench, shortest=1).collect()
+    assert {(r.doc_id, r.item_id) for r in everything} == {(3, 11), (1, 10), (5, 10), (1, 12), (5, 12), (3, 13), (4, 13)}
+    assert {(r.doc_start, r.doc_end) for r in everything if (r.doc_id, r.item_id) == (1, 10)} == {(3, 6)}
+    assert sorted(r.item_id for r in dec.short_items(bench).collect()) == [10, 12, 13]
+    assert sorted(r.doc_id for r in dec.drop_contaminated(frame, bench).collect()) == [1, 2, 4, 5]
+    assert sorted(r.doc_id for r in dec.drop_contaminated(frame, bench, shortest=1).collect()) == [2]
+
+
 def test_equals_brute_force_over_all_diagonals(spark):
     rng = random.Random(7)
     items = [(k, " ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(13, 20)))) for k in range(6)]

@@ -78,3 +78,54 @@ def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Rows with NULLs in every column, repeated rows, an empty and a very long text, and columns with the operators' own names."""
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(*row, "t", 0.5, 7, "k") for row in given.limit(60).collect()]
+    kinds = [name for name, _ in given.dtypes]
+    base = dict.fromkeys(kinds)
+    more = [
+        {**base},
+        {**base, "doc_id": 9001},
+        {**base, "text": "a text without an id"},
+        {**base, "doc_id": 9002, "text": "", "source": "src0", "lang": "en", "n_chars": 0},
+        {**base, "doc_id": 9003, "text": " ".join(f"word{k % 700}x{k}" for k in range(60_000)), "source": "src0", "n_chars": 1},
+        {**base, "doc_id": 9004, "text": "twice the same row", "source": "src1"},
+        {**base, "doc_id": 9004, "text": "twice the same row", "source": "src1"},
+        {**base, "doc_id": 9004, "text": "the id again, another text", "source": "src1"},
+    ]
+    rows += [(*(row[name] for name in kinds), None, None, None, None) for row in more]
+    schema = ", ".join(f"{name} {kind}" for name, kind in given.dtypes)
+    return spark.createDataFrame(rows, f"{schema}, text_hash string, score double, item_id long, _text_hash string")
+
+
+def test_stages_handle_odd_rows(spark, odd):
+    docs, before = odd, [tuple(row) for row in odd.collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, docs, SF)
+        if name == "token_files":
+            found = kept.collect()
+            assert Counter(row.doc_id for row in found) == Counter(row[0] for row in before)
+            assert sum(row.n_tokens for row in found) == max(row.start + row.n_tokens for row in found)
+            continue
+        assert kept.columns == docs.columns
+        after = [tuple(row) for row in kept.collect()]
+        if name != "mixing":
+            assert not Counter(after) - Counter(before)  # nothing new, nothing changed
+        ids = {row[0] for row in after}
+        assert {9003, 9004} <= ids  # clean documents stay
+        if name == "simhash":  # of rows without words one stays, and one of each repeated row
+            assert sum(not (row[1] or "").split() for row in after) == 1
+            assert max(Counter(after).values()) == 1
+        docs, before = spark.createDataFrame(after, docs.schema), after
+
+
+def test_no_stage_joins_or_holds_lists_of_documents(spark):
+    """Toxicity and decontamination filter rows as they pass, so their cost has no step at some number of documents."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2]):
+        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Join" not in plan and "Exchange" not in plan
