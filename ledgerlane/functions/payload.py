@@ -68,10 +68,13 @@ REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def allow_repeated_keys(df: DataFrame) -> DataFrame:
-    """``df``, whose session is made to read objects with repeated keys; every job that reads payloads asks for it."""
-    session = df.sparkSession
-    if session.conf.get(REPEATED_KEYS) != "true":
-        session.conf.set(REPEATED_KEYS, "true")
+    """``df``, if its session reads objects with repeated keys; every job that reads payloads asks for it.
+
+    The setting belongs to the session, so its owner makes it (``ledgerlane.session.prepare``): a plan runs later than it is made, when a setting made
+    here might be gone, and other work of the session would see it.
+    """
+    if df.sparkSession.conf.get(REPEATED_KEYS) != "true":
+        raise ValueError(f"set {REPEATED_KEYS} to true, payloads may repeat a key")
     return df
 
 

@@ -23,6 +23,7 @@ from ledgerlane.operators.diff import snapshot_diff
 from ledgerlane.operators.interval import DaySpans, join_intervals
 from ledgerlane.operators.replace import replace_into
 from ledgerlane.plans import assets, closures, corrections, crm, inventory, job_queue, pos_month, sales, tenants
+from ledgerlane.session import prepare
 from ledgerlane.sources.bucketed import bucketed
 from ledgerlane.sources.collation import join_collated, sum_collated
 from ledgerlane.sources.odd_sample import OddTables
@@ -62,17 +63,17 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def query(function: Callable[[SampleTables], DataFrame]) -> Callable[[SampleTables], DataFrame]:
-    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(SampleTables(spark, sf_dir)))
+    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(SampleTables(prepare(spark), sf_dir)))
     return function
 
 
 def register_query(function: Callable[[RegisterTables], DataFrame]) -> Callable[[RegisterTables], DataFrame]:
-    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(RegisterTables(spark, sf_dir)))
+    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(RegisterTables(prepare(spark), sf_dir)))
     return function
 
 
 def odd_query(function: Callable[[OddTables], DataFrame]) -> Callable[[OddTables], DataFrame]:
-    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(OddTables(spark, sf_dir)))
+    _REGISTRY[function.__name__] = lambda spark, sf_dir: comparable(function(OddTables(prepare(spark), sf_dir)))
     return function
 
 

@@ -4,6 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+#: What the jobs need of any session that runs them.
+SETTINGS = {"spark.sql.variant.allowDuplicateKeys": "true"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session the settings that the jobs need."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session. On a cluster the caller passes its own session to the jobs instead."""
@@ -22,4 +32,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         builder = builder.config(key.replace("__", "."), value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    return prepare(session)

@@ -177,3 +177,15 @@ def test_one_companys_contacts_read_its_deals_only(spark, tmp_path, whole_plans)
     plan = crm.new_contacts(stored, 1, datetime(1998, 1, 1), datetime(1998, 12, 31))._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line and "deal_name" in line or "FileScan" in line and "person_id#" in line and "crm_deals" in line]
     assert scans and all("EqualTo(company_key,1)" in line for line in scans)
+
+
+def test_payload_jobs_ask_for_the_session_setting(spark):
+    rows = spark.createDataFrame([("c", "IN", "[]")], "register_closure_id string, invoice_type string, invoice_payment_types string")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        with pytest.raises(ValueError, match="allowDuplicateKeys"):
+            closures.explode_payments(rows)
+        assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    assert closures.explode_payments(rows).count() == 0
