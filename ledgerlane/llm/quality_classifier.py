@@ -54,31 +54,46 @@ def index_vectors() -> np.ndarray:
     return table
 
 
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+
+
+def shapes(texts: list[bytes]) -> Words:
+    """The shapes of the texts' words, hashed: kinds of the first and of the last three bytes, found in one buffer of all texts."""
+    letters = np.frombuffer(b"".join(text + b"\n" for text in texts).translate(_SHAPE), np.uint8)
+    inside = ~_BLANK[letters]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))  # every text ends with a blank, so starts and ends alternate
+    begin, end = edges[::2], edges[1::2]
+    code = letters[begin].astype(np.uint64)
+    for back in (3, 2, 1):
+        code = code << np.uint64(8) | np.where(end - begin >= back, letters[np.maximum(end - back, 0)], 0).astype(np.uint64)
+    limits = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return Words(mixed(code + np.uint64(1)), np.searchsorted(begin, limits))
+
+
 def read(texts: list[bytes]) -> tuple[Words, Words]:
     """The words of the texts, and their shapes."""
-    rows = [text.split() for text in texts]
-    shapes = [[word[:1] + b" " + word[-3:] for word in text.translate(_SHAPE).split()] for text in texts]
-    return hashed(rows), hashed(shapes)
+    return hashed([text.split() for text in texts]), shapes(texts)
 
 
 def bucket(words: Words) -> np.ndarray:
     return (mixed(words.hashes) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def contexts(words: Words, index: np.ndarray) -> np.ndarray:
-    """Per bucket the sum of the index vectors of its neighbours within ``REACH`` words."""
-    table, own, owner = np.zeros((BUCKETS, DIMENSIONS), np.int64), bucket(words), words.owner
+def contexts(words: Words, index: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Per bucket the sum of the index vectors of its neighbours within ``REACH`` words, added to ``table``."""
+    table = np.zeros((BUCKETS, DIMENSIONS), np.int64) if table is None else table
+    own, owner = bucket(words), words.owner
     if not len(own):
         return table
     rows = index.astype(np.int16)[own]
     around = np.zeros_like(rows)
     for step in range(1, REACH + 1):
-        near = (owner[:-step] == owner[step:])[:, None]
+        near = (owner[:-step] == owner[step:]).astype(np.int16)[:, None]
         around[:-step] += rows[step:] * near
         around[step:] += rows[:-step] * near
     order = np.argsort(own.astype(np.uint16), kind="stable")
     head = starts(own[order])
-    table[own[order][head]] = np.add.reduceat(around[order], head, axis=0, dtype=np.int64)
+    table[own[order[head]]] += np.add.reduceat(around[order], head, axis=0, dtype=np.int64)
     return table
 
 
@@ -90,7 +105,7 @@ def gather_contexts(docs: DataFrame, index: np.ndarray) -> np.ndarray:
         for batch in batches:
             for part in chunks(texts_of(batch.column("text"))):
                 for words in read(part):
-                    table += contexts(words, index)
+                    contexts(words, index, table)
                     some = some or len(words.hashes) > 0
         parts = table.reshape(BLOCKS, -1) if some else table[:0]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts)), pa.int32()), pa.array([pack(part) for part in parts], pa.binary())], ["block", "sums"])

@@ -85,3 +85,11 @@ def test_odd_rows(spark):
     assert qc.score_documents(docs.limit(0), qc.train(docs.limit(0), told)).collect() == []
     flat = qc.score_documents(docs, qc.train(docs, told.limit(0))).collect()
     assert {round(r.score, 6) for r in flat} == {0.5}
+
+
+def test_shapes_are_those_of_the_words():
+    texts = [b"", b" ", "Élan, co-op 1234 X\n\tyes! a".encode(), b"end", b"One one ONE oNe"]
+    found = qc.shapes(texts)
+    assert found.counts.tolist() == [len(text.split()) for text in texts]
+    told = [word[:1] + b" " + word[-3:] for text in texts for word in text.translate(qc._SHAPE).split()]
+    assert {(a == b) for a, b in zip(np.equal.outer(found.hashes, found.hashes).ravel(), [x == y for x in told for y in told])} == {True}
