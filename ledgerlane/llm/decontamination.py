@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunks, ship, texts_of
+from ledgerlane.llm.common import chunks, drop_rows, ship, texts_of
 from ledgerlane.llm.tokens import Words, hashed
 from ledgerlane.sources.publish import store
 
@@ -224,22 +224,5 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, shortest
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, shortest: int = SHORTEST) -> DataFrame:
-    """``docs`` without the documents that share a passage with an item.
-
-    Each block of items filters the rows as they pass, so nothing is joined or shuffled and no list of documents is held.
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    for own in _blocks(benchmark, max(1, shortest)):
-        block = spark.sparkContext.broadcast(own)
-
-        def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                clean, base = np.ones(batch.num_rows, bool), 0
-                for part in chunks(texts_of(batch.column("text"))):
-                    clean[[base + d for d, *_ in _overlaps(hashed([words_of(each) for each in part]), block.value, least)]] = False
-                    base += len(part)
-                yield batch.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    """``docs`` without the documents that share a passage with an item."""
+    return drop_rows(docs, overlaps(docs, benchmark, least, shortest).select("doc_id", "text_hash"))

@@ -124,7 +124,7 @@ class Encoder:
 
     _ODD = ("  ", "\n ", " \n", "<|")
 
-    def __init__(self, model: str, dtype: str, remembered: int = 800_000, end: bytes = b"") -> None:
+    def __init__(self, model: str, dtype: str, remembered: int = 500_000, end: bytes = b"") -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -212,7 +212,7 @@ def _encoder(model: str, dtype: str, end: bytes) -> Encoder:
     return Encoder(model, dtype, end=end)
 
 
-def _together(texts: list[str], size: int = 8 << 20) -> Iterator[list[str]]:
+def _together(texts: list[str], size: int = 2 << 20) -> Iterator[list[str]]:
     """Texts in groups of about ``size`` characters."""
     group, held = [], 0
     for text in texts:

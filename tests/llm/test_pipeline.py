@@ -121,11 +121,3 @@ def test_stages_handle_odd_rows(spark, odd):
             assert sum(not (row[1] or "").split() for row in after) == 1
             assert max(Counter(after).values()) == 1
         docs, before = spark.createDataFrame(after, docs.schema), after
-
-
-def test_no_stage_joins_or_holds_lists_of_documents(spark):
-    """Toxicity and decontamination filter rows as they pass, so their cost has no step at some number of documents."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2]):
-        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
-        assert "MapInArrow" in plan and "Join" not in plan and "Exchange" not in plan
