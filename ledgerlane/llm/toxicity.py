@@ -286,11 +286,10 @@ def fit(bags: list[tuple[int, list[bytes]]]) -> Model | None:
     # A sentence of several documents is toxic if most of them are; copies count once.
     rows = sorted(votes)
     toxic = np.array([2 * sum(votes[row]) > len(votes[row]) for row in rows], bool)
-    split = [row.split() for row in rows]
-    words = sorted({word for row in split for word in row})
+    words = sorted({word for row in rows for word in row.split()})
     place = {word: k for k, word in enumerate(words)}
-    member = np.array([place[word] for row in split for word in row], np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(row) for row in split])
+    member = np.fromiter((place[word] for row in rows for word in row.split()), np.int64)
+    owner = np.repeat(np.arange(len(rows)), [row.count(b" ") + 1 for row in rows])
     inside = toxic[owner]
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     seen1, seen0 = (np.bincount(member[mask], minlength=len(words)) for mask in (inside, ~inside))
