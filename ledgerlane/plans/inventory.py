@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ledgerlane.functions.labels import sql_datetime
 from ledgerlane.functions.money import MONEY, no_money
 from ledgerlane.operators.lookup import lookup
 from ledgerlane.operators.numbering import number_rows
-from ledgerlane.sources.publish import scratch_scope, store
+from ledgerlane.sources.publish import scratch_scope
 from ledgerlane.sources.tables import Tables
 
 # Movement types, the status of an applied movement, and report texts.
@@ -47,14 +49,15 @@ def broken_serials(tables: Tables, company_key: int | None = None, ordered: bool
 
     Broken means more outcomes than incomes, or a remaining stock after at least one outcome with more than one unit
     missing. The sums are partial before the shuffle, so a serial with very many movements is no hot spot; an inventory
-    document with very many is split by the adaptive skew join. Code and name belong to the item; as group keys they
-    keep the sums in hash aggregation.
+    document with very many is split by the adaptive skew join. Only serials that can be broken meet their item, so neither
+    movements nor the item's code and name are shuffled for it; an item listed more than once counts each time.
     """
     company = for_company(company_key, F.col("company_key"))
     items = (
         tables["erp_item"]
         .where(every([*company, F.col("item_is_stock"), F.col("item_has_serial")]))
-        .select("company_key", F.col("id").alias("item_id"), "item_code", "item_name")
+        .groupBy("company_key", F.col("id").alias("item_id"), "item_code", "item_name")
+        .agg(F.count("*").alias("_times"))
     )
     applied = (
         tables["erp_inventory"]
@@ -64,20 +67,25 @@ def broken_serials(tables: Tables, company_key: int | None = None, ordered: bool
     quantity, kind = F.col("inventory_detail_quantity"), F.col("inventory_detail_type")
     movements = (
         tables["erp_inventory_detail"]
-        .where(every(company))
+        .where(every([*company, F.col("item_id").isNotNull()]))
         .select("company_key", "inventory_id", "item_id", "item_serial_number", quantity, kind)
     )
-    stock = (
-        movements.join(items, ["company_key", "item_id"])
-        .join(applied, ["company_key", "inventory_id"])
-        .groupBy(*SERIAL, "item_code", "item_name")
+    incomes, outcomes = F.col("inventory_incomes"), F.col("inventory_outcomes")
+    summed = (
+        movements.join(applied, ["company_key", "inventory_id"])
+        .groupBy(*SERIAL)
         .agg(
-            F.sum(F.when(kind == INCOME, quantity).otherwise(no_money())).cast(MONEY).alias("inventory_incomes"),
-            F.sum(F.when(kind == OUTCOME, quantity).otherwise(no_money())).cast(MONEY).alias("inventory_outcomes"),
-            F.sum(_signed(quantity, kind)).cast(MONEY).alias("expected_stock"),
+            F.sum(F.when(kind == INCOME, quantity).otherwise(no_money())).alias("inventory_incomes"),
+            F.sum(F.when(kind == OUTCOME, quantity).otherwise(no_money())).alias("inventory_outcomes"),
+            F.sum(_signed(quantity, kind)).alias("expected_stock"),
         )
+        # What no number of listings makes broken.
+        .where((incomes < outcomes) | ((F.col("expected_stock") != 0) & (outcomes > 0) & (incomes > outcomes)))
+    )
+    sums = ["inventory_incomes", "inventory_outcomes", "expected_stock"]
+    stock = summed.join(items, ["company_key", "item_id"]).select(
+        *SERIAL, "item_code", "item_name", *[(F.col(name) * F.col("_times")).cast(MONEY).alias(name) for name in sums]
     )
-    incomes, outcomes = F.col("inventory_incomes"), F.col("inventory_outcomes")
     broken = stock.where(
         (incomes < outcomes)
         | ((F.col("expected_stock") != 0) & (outcomes >= 1) & (incomes - 1 > outcomes))
@@ -89,17 +97,17 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string").alias(name)
 
 
-def flow_rows(tables: Tables, broken: DataFrame, company_key: int | None = None) -> DataFrame:
+def flow_rows(tables: Tables, broken: DataFrame, company_key: int | None = None, order: Sequence[str] = tuple(_SERIAL_ORDER)) -> DataFrame:
     """Header and movement rows of every broken serial, unnumbered, with the columns that order them.
 
     A serial's movements are all its movements, applied or not. A NULL serial has no rows (see :func:`flow_rejects`).
-    ``company_key`` limits the scans of movements and documents, as ``broken`` was limited.
+    ``company_key`` limits the scans of movements and documents, as ``broken`` was limited. ``order`` names the columns of ``broken`` that order its serials.
     """
     company = every(for_company(company_key, F.col("company_key")))
     serials = broken.where(F.col("item_serial_number").isNotNull())
-    order = [F.col(name).alias(f"_{name}") for name in _SERIAL_ORDER]
+    placed = [F.col(name).alias(f"_{name}") for name in order]
     headers = serials.select(
-        *order,
+        *placed,
         F.lit(0).alias("_level"),
         F.lit(None).cast("timestamp_ntz").alias("_created_at"),
         F.lit("").alias("item_id"),
@@ -135,14 +143,15 @@ def flow_rows(tables: Tables, broken: DataFrame, company_key: int | None = None)
         "inventory_detail_created_at",
     )
     moved = (
-        details.join(serials.select(*SERIAL, "item_code", "expected_stock"), SERIAL)
+        details.join(serials.select(*SERIAL, *placed), SERIAL)
+        .drop("item_id", "item_serial_number")
         .join(documents, ["company_key", "inventory_id"])
         .join(origin, "warehouse_id")
     )
     moved = lookup(moved, "warehouse_id_transfer", destination, "_to_id")
     kind = F.col("inventory_detail_type")
     movements = moved.select(
-        *order,
+        *[f"_{name}" for name in order],
         F.lit(1).alias("_level"),
         F.col("inventory_detail_created_at").alias("_created_at"),
         F.col("inventory_type").alias("item_id"),
@@ -164,12 +173,18 @@ def serial_inventory_flow(tables: Tables, company_key: int | None = None, headin
     Movements created at the same moment follow in the order of their document number and shown values. This runs jobs: the
     broken serials and the sorted listing are written to scratch folders, which go with the open ``scratch_scope`` or the session.
     """
-    # The serials are read twice (headers and movements) and far fewer than the movements summed for them.
-    broken = store(broken_serials(tables, company_key), "broken-serials")
-    rows = flow_rows(tables, broken, company_key)
-    order = [F.col(f"_{name}") for name in _SERIAL_ORDER] + [
+    # The serials are numbered first, so that their movements travel and are sorted with one number instead of the columns that order the serials.
+    # Listings of one serial under several names share its place.
+    serials = broken_serials(tables, company_key).where(F.col("item_serial_number").isNotNull())
+    listing = F.struct("item_name", "inventory_incomes", "inventory_outcomes")
+    listed = serials.groupBy(*_SERIAL_ORDER).agg(F.collect_list(listing).alias("_listings"))
+    listed = number_rows(listed, [F.col(name) for name in _SERIAL_ORDER], "place")
+    listed = listed.select("place", *_SERIAL_ORDER, F.explode("_listings").alias("_listing")).select("*", "_listing.*").drop("_listing")
+    rows = flow_rows(tables, listed, company_key, ["place"])
+    order = [
         F.col(name)
         for name in (
+            "_place",
             "_level",
             "_created_at",
             "inventory_consecutive",

@@ -4,6 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlane.plans import assets, inventory
 
@@ -88,6 +89,22 @@ def test_flow_lists_header_and_all_movements_in_order(stock):
     assert rows[3][2:5] == ("Uno", "Entrada", "3.000000")
 
 
+def test_movements_are_sorted_with_one_number_for_their_serial(stock, monkeypatch):
+    sorted_columns, number_rows = [], inventory.number_rows
+    monkeypatch.setattr(inventory, "number_rows", lambda df, *rest: sorted_columns.append(set(df.columns)) or number_rows(df, *rest))
+    inventory.serial_inventory_flow(stock(("b", "OT", 1), ("a", "OT", 2))).count()
+    assert sorted_columns[-1] - {*inventory.HEADINGS} == {"_place", "_level", "_created_at"}
+
+
+def test_an_item_listed_more_than_once_counts_each_time(stock):
+    tables = stock(("s", "OT", 1), ("one-left", "IN", 2), ("one-left", "OT", 1))
+    again = tables["erp_item"]
+    assert broken({**tables, "erp_item": again.union(again)}) == {"s": (0, 2, -2), "one-left": (4, 2, 2)}
+    other = {**tables, "erp_item": again.union(again.withColumn("item_name", F.lit("M")))}
+    rows = inventory.serial_inventory_flow(other).orderBy("idx").collect()
+    assert [(row.idx, row.item_name) for row in rows] == [(1, "M"), (2, "N"), (3, "Salida"), (4, "Salida")]
+
+
 def test_missing_serial_is_rejected_not_listed(stock):
     tables = stock((None, "OT", 1), ("s", "OT", 1))
     assert [row.item_serial_number for row in inventory.flow_rejects(tables).collect()] == [None]
